@@ -1 +1,231 @@
-QUERIES={}; ORACLES={}
+"""Near-duplicate documents by bottom-k sketches of one hash function.
+
+Every distinct text gets the k smallest hashes of its word shingles. Inverted lists of the
+retained values propose pairs: a text enters only the lists of its rarest values, as many
+as two texts that must share ``need`` of their k values can't both miss. In each list texts
+are first compared with two heads, then with members of other groups only, so large groups
+of copies make no quadratic number of pairs. A union-sketch estimate thins the proposals
+and the exact Jaccard similarity of the full shingle sets confirms the rest.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corvina.llm.common import connected_components, cut
+
+#: Retained values of a text, and how many of them two texts at the threshold share but for chances below 1e-13.
+K, NEED = 64, 24
+#: Differing bits of 128 one-bit minhashes allowed, missed with chances below 1e-10 at similarity 0.8.
+SIGNATURE_BITS = 42
+#: Buckets of the broadcast set that thins the texts before they are shuffled: the set's size is bounded by it.
+BUCKETS = 1 << 20
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_hashes(words: list[bytes], length: int, known: dict[bytes, int]) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; fewer words than ``length`` make one shingle."""
+    if not words:
+        return np.empty(0, np.uint64)
+    if len(known) > 200_000:
+        known.clear()
+    out = []
+    for w in words:
+        if (h := known.get(w)) is None:
+            known[w] = h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+        out.append(h)
+    h = np.array(out, np.uint64)
+    n = min(length, len(h))
+    with np.errstate(over="ignore"):
+        s = np.zeros(len(h) - n + 1, np.uint64)
+        for i in range(n):
+            s = (s ^ h[i : len(h) - n + 1 + i]) * _MIX
+            s ^= s >> np.uint64(29)
+        s = s * np.uint64(0xBF58476D1CE4E5B9)
+        s ^= s >> np.uint64(32)
+    return np.unique(s)
+
+
+def _signature(h: np.ndarray) -> tuple[int, int]:
+    """128 bits: one of the smallest hash in each of 128 ranges, 0 for an empty range."""
+    bits = np.zeros(128, np.uint8)
+    if len(h):
+        at = h >> np.uint64(57)
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        with np.errstate(over="ignore"):
+            bits[at[first].astype(np.int64)] = (h[first] * np.uint64(0x94D049BB133111EB)) >> np.uint64(63)
+    a = np.packbits(bits).view(">i8")
+    return int(a[0]), int(a[1])
+
+
+_SKETCH = "rid long, key binary, n int, s1 long, s2 long, sketch array<long>"
+
+
+def _sketcher(length: int, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        seen: dict[bytes, int] = {}
+        for batch in batches:
+            rows = []
+            for rid, text in zip(batch["rid"].to_pylist(), batch["text"].to_pylist()):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                key = hashlib.md5(raw).digest()
+                if key in seen:
+                    rows.append((rid, key, seen[key], None, None, None))
+                    continue
+                h = shingle_hashes(raw.lower().split(), length, known)
+                if len(seen) > 100_000:
+                    seen.clear()
+                seen[key] = len(h)
+                rows.append((rid, key, len(h), *_signature(h), h[:k].astype(np.int64)))
+            ids = batch["id"]
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            names = ["id", "rid", "key", "n", "s1", "s2", "sketch"]
+            yield pa.RecordBatch.from_arrays([ids, *([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds])], names)
+
+    return run
+
+
+def _verifier(length: int, percent: int):
+    def shingles(text: str) -> set:
+        w = text.encode("utf-8", "surrogatepass").lower().split()
+        n = min(length, len(w))
+        return set(zip(*(w[i : len(w) - n + 1 + i] for i in range(n)))) if w else set()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, set()
+        for batch in batches:
+            a, b = [], []
+            for x, y, tx, ty in zip(*(batch[c].to_pylist() for c in ("a", "b", "ta", "tb"))):
+                if x != last:
+                    last, held = x, shingles(tx)
+                other = shingles(ty)
+                both = len(held & other)
+                if both and 100 * both >= percent * (len(held) + len(other) - both):
+                    a.append(x)
+                    b.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _need(n: Column, k: int, need: int, percent: int) -> Column:
+    """How many retained values a text of n shingles surely shares with a linked one."""
+    return F.when(n * 100 <= k * percent, F.ceil(n * percent / 100)).otherwise(need).cast("int")
+
+
+def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int = K, need: int = NEED, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(rows, labels): rows has rid, id, n, rep of each row of ``docs``; labels has node and root of linked texts.
+
+    rep is the row id of the first row with the same text. Texts are linked when the Jaccard
+    similarity of their shingle sets is at least ``percent`` hundredths.
+    """
+    mine = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([T.StructField("id", mine.schema["id"].dataType), *T._parse_datatype_string(_SKETCH).fields])
+    base = cut(mine.mapInArrow(_sketcher(words, k), schema))
+    reps = base.groupBy("key").agg(F.min("rid").alias("rep"))
+    rows = base.select("rid", "id", "n", "key").join(reps, "key").select("rid", "id", "n", "rep", "key")
+    nodes = cut(base.join(reps.select(F.col("rep").alias("rid")), "rid", "left_semi").where("n > 0").select(F.col("rid").alias("node"), "key", "n", "s1", "s2", "sketch"))
+    values = nodes.select("node", F.explode("sketch").alias("v"))
+    shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    mine = values.join(shared, "v").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("l"))
+    facts = nodes.select("node", "n", F.size("sketch").alias("m"))
+    kept = F.col("m") - _need(F.col("n"), k, need, percent) + 1
+    # Values that no other text retains are the rarest of all and take the first places.
+    kept = F.greatest(kept - (F.col("m") - F.size("l")), F.lit(0))
+    lists = cut(mine.join(facts, "node").select("node", F.explode(F.slice("l", 1, kept)).alias("e")).select("node", F.col("e.v").alias("v")))
+    small = nodes.select("node", "n", "s1", "s2")
+    heads = lists.groupBy("v").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    stars = lists.join(heads, "v").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b").distinct()
+    stars = stars.join(small.toDF("a", "na", "a1", "a2"), "a").join(small.toDF("b", "nb", "b1", "b2"), "b").where(_alike("na", "nb", "a1", "a2", "b1", "b2", percent)).select("a", "b")
+    first = confirm(stars, nodes, docs, words, percent, k, need, text_col)
+    labels = connected_components(first)
+    known = small.join(labels, small.node == labels.node, "left").select(small.node, "n", "s1", "s2", F.coalesce("root", small.node).alias("g"))
+    groups = lists.join(known, "node")
+    mixed = groups.groupBy("v").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 < g1").select("v")
+    left = groups.join(mixed, "v", "left_semi")
+    right = left.select("v", *[F.col(c).alias(c + "_") for c in ("node", "n", "s1", "s2", "g")])
+    rest = left.join(right, (left.v == right.v) & (left.node < right.node_) & (left.g != right.g_) & _alike("n", "n_", "s1", "s2", "s1_", "s2_", percent)).select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
+    links = first.unionByName(confirm(rest, nodes, docs, words, percent, k, need, text_col))
+    return rows, connected_components(links)
+
+
+def _alike(n: str, m: str, a1: str, a2: str, b1: str, b2: str, percent: int) -> Column:
+    """Whether sizes and signatures allow the similarity."""
+    n, m = F.col(n), F.col(m)
+    bits = F.bit_count(F.col(a1).bitwiseXOR(F.col(b1))) + F.bit_count(F.col(a2).bitwiseXOR(F.col(b2)))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (bits <= SIGNATURE_BITS)
+
+
+def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, k: int, need: int, text_col: str) -> DataFrame:
+    """(a, b): the pairs whose union sketch allows the similarity and whose full sets confirm it."""
+    sketches = nodes.select("node", "n", "sketch", "key")
+    both = pairs.join(sketches.toDF("a", "na", "sa", "ka"), "a").join(sketches.toDF("b", "nb", "sb", "kb"), "b")
+    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
+    seen = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
+    least = F.least(F.lit(need), F.ceil(F.size(union) * need / k))
+    pairs = cut(both.where(seen >= least).select("a", "b", "ka", "kb"))
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
+    wanted = pairs.select(F.explode(F.array("ka", "kb")).alias("key"))
+    near = wanted.select(bucket("key").alias("bucket")).distinct()
+    texts = docs.select(F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("key"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.withColumn("bucket", bucket("key")).join(F.broadcast(near), "bucket", "left_semi").select("key", "text").dropDuplicates(["key"])
+    rows = pairs.join(texts.toDF("ka", "ta"), "ka").join(texts.toDF("kb", "tb"), "kb").select("a", "b", "ta", "tb")
+    return cut(rows.mapInArrow(_verifier(words, percent), "a long, b long"))
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept, key (the text's MD5).
+
+    A null, empty or blank text has no shingles and is linked with nothing: it is its own
+    component. Rows with a null id take part; a component without any id has the null id.
+    kept marks rows whose id is their component's, so rows that repeat that id are all marked.
+    """
+    rows, labels = link_classes(docs, **how)
+    nodes = rows.where("n > 0").groupBy("rep").agg(F.min("id").alias("least")).join(labels, F.col("rep") == F.col("node"), "left").select("rep", "least", "root")
+    tops = nodes.where("root is not null").groupBy("root").agg(F.min("least").alias("top"))
+    nodes = nodes.join(tops, "root", "left").select("rep", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("top")).alias("component"))
+    out = rows.join(nodes, "rep", "left").withColumn("component_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")))
+    return out.select("id", F.col("n").cast("long").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "key")
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component; blank texts all stay; columns as they are."""
+    key = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
+    best = found.where("kept and n_shingles > 0").groupBy("component_id").agg(F.min("key").alias("__key")).select(F.col("component_id").alias("__id"), "__key")
+    mine = docs.withColumn("__k", key).withColumn("__n", F.col(text_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
+    blank = mine.where(~F.col("__n"))
+    rest = mine.where("__n").join(best, mine[id_col].eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__key")), "left_semi").dropDuplicates([id_col, "__k"])
+    return rest.unionByName(blank).select(*docs.columns)
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: distinct 2-word shingles, component of documents at Jaccard 0.8, whether it is kept."""
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=2)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+QUERIES = {"op2_near_dedup": op2_near_dedup}
+ORACLES = {
+    "op2_near_dedup": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 2) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a),
+k AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, k.component_id, d.doc_id = k.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN k ON k.x = d.doc_id"""
+}
