@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvina.llm import decontaminate, mixing, near_dedup, toxicity
+from corvina.llm import decontaminate, mixing, near_dedup, quality, toxicity
 
-_PARTS = (decontaminate, near_dedup, mixing, toxicity)
+_PARTS = (decontaminate, near_dedup, mixing, toxicity, quality)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
