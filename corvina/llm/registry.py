@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvina.llm import decontaminate, license_scan, mixing, near_dedup, neighbours, quality, toxicity
+from corvina.llm import decontaminate, license_scan, mixing, near_dedup, neighbours, quality, sharding, toxicity
 
-_PARTS = (decontaminate, near_dedup, neighbours, mixing, toxicity, license_scan, quality)
+_PARTS = (decontaminate, near_dedup, neighbours, sharding, mixing, toxicity, license_scan, quality)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
