@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ("scalars",)
+MODULES: tuple[str, ...] = ("scalars", "analytics")
 
 
 def load() -> None:
