@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ENUMERATOR = r"^[A-Za-z0-9]{1,3}(?U:\s)*[).\-](?U:\s)+"
 BLANKS = r"(?U)\s+"
@@ -25,13 +26,13 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(values: pd.Series) -> pd.Series:
     """Unicode normal form C; null stays null."""
     return values.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_accents(values: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks; null stays null."""
     return values.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)), na_action="ignore")
