@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvina.functions.dates import parse_date
-from corvina.functions.text import contains_any, header_key, hits, is_fragment, is_literal, norm_text, plain_latin, squeeze
+from corvina.functions import text as X
+from corvina.functions.text import header_key, is_fragment, is_literal, let, norm_text, plain_latin, squeeze
 from corvina.functions.vocabularies import Vocabulary
 from corvina.operators.canonical import match_values
 
@@ -40,7 +41,12 @@ ROLE_WORDS = {
 ID_HEADERS = ("id do risco", "id risco", "id", "n", "no", "num", "numero", "codigo", "cod")
 OTHER = ("outros", "outro", "outros -", "outros –")
 
-HEADER, ROWS = F.col("header"), F.col("rows")
+def contains_any(c: Column, words) -> Column:
+    return let(c, lambda x: X.contains_any(x, words))
+
+
+def hits(c: Column, words) -> Column:
+    return let(c, lambda x: X.hits(x, words))
 
 
 def _cells(c: Column, key=header_key) -> Column:
@@ -48,18 +54,23 @@ def _cells(c: Column, key=header_key) -> Column:
 
 
 def _combined() -> Column:
-    first = F.coalesce(F.get(ROWS, F.lit(0)), F.array().cast("array<string>"))
-    return F.array_join(F.concat(_cells(HEADER), _cells(first)), " ")
+    first = F.coalesce(F.get(F.col("rows"), F.lit(0)), F.array().cast("array<string>"))
+    return F.array_join(F.concat(_cells(F.col("header")), _cells(first)), " ")
 
 
 def _all_text() -> Column:
-    return plain_latin(F.lower(F.array_join(F.flatten(ROWS), " ", "")))
+    return plain_latin(F.lower(F.array_join(F.flatten(F.col("rows")), " ", "")))
 
 
 def directive_kind() -> Column:
     """risk_table, organ_info, signature or unknown, by words in the header and the first row."""
-    text, n = _combined(), F.size(HEADER)
+    n = F.size(F.col("header"))
     few = n.between(3, 8)
+    return let(_combined(), lambda text: _kind_by_words(text, n, few))
+
+
+def _kind_by_words(text: Column, n: Column, few: Column) -> Column:
+    hits = X.hits
     risk = few & ((hits(text, RISK_WORDS) >= 2) | ((hits(text, RISK_WORDS) >= 1) & (hits(text, RISK_OTHER) >= 1)))
     return F.when(n == 0, "unknown").when(risk, "risk_table").when(hits(text, OWNER_WORDS) >= 2, "organ_info").when((hits(text, SIGN_WORDS) >= 2) & (n <= 4), "signature").otherwise("unknown")
 
@@ -70,18 +81,19 @@ def delivery_kind() -> Column:
     tight = F.replace(text, F.lit(" "), F.lit(""))
     done = tight.contains("dtentrega") | contains_any(text, ("data entrega", "data de entrega", "pactuado?", "pactuado ?"))
     agreed = tight.contains("dtpactuada") | text.contains("data pactuada")
-    return F.when(F.size(ROWS) == 0, "unknown").when(text.contains("justificativa"), "cancelled").when(done, "done").when(agreed, "agreed").otherwise("unknown")
+    return F.when(F.size(F.col("rows")) == 0, "unknown").when(text.contains("justificativa"), "cancelled").when(done, "done").when(agreed, "agreed").otherwise("unknown")
 
 
 def header_is_data() -> Column:
     """Whether the first risk was taken for the header."""
-    a, b = header_key(F.get(HEADER, F.lit(0))), header_key(F.get(HEADER, F.lit(1)))
-    return (F.size(HEADER) >= 4) & (F.length(a) >= 10) & ~a.startswith("risco") & ~a.startswith("col") & contains_any(b, LEVELS)
+    a, b = header_key(F.get(F.col("header"), F.lit(0))), header_key(F.get(F.col("header"), F.lit(1)))
+    long_ = let(a, lambda x: (F.length(x) >= 10) & ~x.startswith("risco") & ~x.startswith("col"))
+    return (F.size(F.col("header")) >= 4) & long_ & contains_any(b, LEVELS)
 
 
 def has_risk_data() -> Column:
     """Whether the rows hold two or more level or treatment words."""
-    return (F.size(ROWS) > 0) & (F.size(HEADER) >= 4) & (hits(_all_text(), LEVELS_AND_ACTIONS) >= 2)
+    return (F.size(F.col("rows")) > 0) & (F.size(F.col("header")) >= 4) & (hits(_all_text(), LEVELS_AND_ACTIONS) >= 2)
 
 
 def is_subheader(cells: Column) -> Column:
@@ -91,14 +103,17 @@ def is_subheader(cells: Column) -> Column:
 
 def is_orphan() -> Column:
     """Risk data under generic headers, without a table that introduced it."""
-    generic = F.size(F.filter(_cells(HEADER), lambda h: (h.startswith("col") & (F.length(h) <= 5)) | contains_any(h, GENERIC_HEADERS)))
-    return F.size(HEADER).between(4, 8) & has_risk_data() & (generic >= F.greatest(F.lit(2), F.floor(F.size(HEADER) / 2)))
+    generic = F.size(F.filter(_cells(F.col("header")), lambda h: (h.startswith("col") & (F.length(h) <= 5)) | contains_any(h, GENERIC_HEADERS)))
+    return F.size(F.col("header")).between(4, 8) & has_risk_data() & (generic >= F.greatest(F.lit(2), F.floor(F.size(F.col("header")) / 2)))
 
 
 def column_role(c: Column) -> Column:
     """A delivery column's role by its name; exact names go before parts of names."""
-    k = header_key(c)
-    s, tight = squeeze(k), F.replace(k, F.lit(" "), F.lit(""))
+    return let(header_key(c), lambda k: _role_by_name(k, squeeze(k), F.replace(k, F.lit(" "), F.lit(""))))
+
+
+def _role_by_name(k: Column, s: Column, tight: Column) -> Column:
+    contains_any = X.contains_any
     return (
         F.when(s.isin("status", "situacao"), "status")
         .when(s.isin("pactuado", "pactuado?", "entregue", "entregue?"), "pactuado")
@@ -113,9 +128,8 @@ def column_role(c: Column) -> Column:
 
 def delivery_status(status: Column, roles: Column) -> Column:
     """concluida, cancelada or pactuada: by the row's status where it is clear, else by the table's roles."""
-    s = F.lower(norm_text(status))
     has = lambda r: F.array_contains(roles, r)
-    own = F.when(s.contains("conclu") | s.isin("sim", "entregue", "finalizada"), "concluida").when(s.contains("cancel") | s.isin("nao", "não"), "cancelada").when(s.contains("pactuada") | (s == "em andamento"), "pactuada")
+    own = let(F.lower(norm_text(status)), lambda s: F.when(s.contains("conclu") | s.isin("sim", "entregue", "finalizada"), "concluida").when(s.contains("cancel") | s.isin("nao", "não"), "cancelada").when(s.contains("pactuada") | (s == "em andamento"), "pactuada"))
     return F.coalesce(own, F.when(has("data_entrega") | has("pactuado"), "concluida").when(has("justificativa"), "cancelada").otherwise("pactuada"))
 
 
@@ -204,11 +218,11 @@ def carry_tables(grid: DataFrame) -> DataFrame:
     by = Window.partitionBy("doc").orderBy("page", "tbl")
     before = by.rowsBetween(Window.unboundedPreceding, -1)
     g = grid.withColumn("__h", directive_kind() == "risk_table").withColumn("__d", ~F.col("__h") & header_is_data()).withColumn("__o", ~F.col("__h") & ~F.col("__d") & is_orphan())
-    sets = F.when((F.size(HEADER) >= 4) & (F.col("__h") | F.col("__d") | F.col("__o")), F.size(HEADER))
+    sets = F.when((F.size(F.col("header")) >= 4) & (F.col("__h") | F.col("__d") | F.col("__o")), F.size(F.col("header")))
     g = g.withColumn("__n", F.last(sets, ignorenulls=True).over(before))
-    goes_on = (F.col("__n") == F.size(HEADER)) & has_risk_data()
-    how = F.when(F.size(HEADER) < 4, None).when(F.col("__h"), "header").when(F.col("__d"), "data_header").when(goes_on, "continuation").when(F.col("__o"), "orphan")
-    g = g.withColumn("how", how).withColumn("carried_header", F.last(F.when(F.col("how") == "header", HEADER), ignorenulls=True).over(by))
+    goes_on = (F.col("__n") == F.size(F.col("header"))) & has_risk_data()
+    how = F.when(F.size(F.col("header")) < 4, None).when(F.col("__h"), "header").when(F.col("__d"), "data_header").when(goes_on, "continuation").when(F.col("__o"), "orphan")
+    g = g.withColumn("how", how).withColumn("carried_header", F.last(F.when(F.col("how") == "header", F.col("header")), ignorenulls=True).over(by))
     return g.drop("__h", "__d", "__o", "__n")
 
 
@@ -218,18 +232,19 @@ def risk_rows(grid: DataFrame) -> DataFrame:
     Rows that explain or repeat the header, and rows without risk, probability and impact, are left out. A header that
     is data gives its own row (row -1, source data_header). nan and none are empty.
     """
-    clean = lambda c: F.when(F.lower(norm_text(c)).isin("nan", "none"), F.lit("")).otherwise(norm_text(c))
+    clean = lambda c: let(norm_text(c), lambda x: F.when(F.lower(x).isin("nan", "none"), F.lit("")).otherwise(x))
     g = carry_tables(grid).where("how is not null")
-    own = g.where("how = 'header'").select("header").distinct().withColumn("at", risk_roles(HEADER)).withColumnRenamed("header", "__h")
-    g = g.join(own, F.col("header").eqNullSafe(F.col("__h")) & (F.col("how") == "header"), "left").drop("__h")
-    lifted = g.where("how = 'data_header'").select("doc", "page", "tbl", "how", "at", F.size("header").alias("ncols"), F.lit(-1).alias("row"), F.col("header").alias("cells"))
+    # One row for each table, its parts unpacked at once: the tables are classified a single time.
+    g = g.withColumn("at", F.when(F.col("how") == "header", risk_roles(F.col("header"))))
     short = F.forall(F.slice("rows", 1, 3), lambda r: F.length(squeeze(F.coalesce(F.get(r, F.lit(0)), F.lit("")))) <= 3)
-    rest = g.select("doc", "page", "tbl", "how", "at", F.size("header").alias("ncols"), (short & (F.size("header") > 5)).alias("step"), F.posexplode("rows").alias("row", "cells"))
-    rows = rest.unionByName(lifted.withColumn("step", F.lit(False)))
-    place = {r: F.coalesce(F.col(f"at.{r}"), F.when(F.col("how") != "header", F.lit(i) + F.col("step").cast("int"))) for i, r in enumerate(ROLE_WORDS)}
-    out = rows.where(~is_subheader(F.col("cells"))).select("doc", "page", "tbl", "row", *[clean(F.get("cells", p)).alias(r) for r, p in place.items()], F.col("how").alias("source"))
-    for r in ROLE_WORDS:
-        out = out.withColumn(r, F.coalesce(r, F.lit("")))
+    body = F.transform(F.col("rows"), lambda r, i: F.struct(i.alias("row"), r.alias("cells")))
+    lifted = F.array(F.struct(F.lit(-1).alias("row"), F.col("header").alias("cells")))
+    every = F.when(F.col("how") == "data_header", F.concat(lifted, body)).otherwise(body)
+    rows = g.select("doc", "page", "tbl", "how", "at", F.size("header").alias("ncols"), (short & (F.size("header") > 5)).alias("step"), F.inline(every)).withColumn("step", F.col("step") & (F.col("row") >= 0))
+    place = {r: F.coalesce(F.col(f"at.{r}"), F.when(F.col("how") != "header", F.lit(i) + F.coalesce(F.col("step"), F.lit(False)).cast("int"))) for i, r in enumerate(ROLE_WORDS)}
+    cells = F.struct(*[F.coalesce(clean(F.get("cells", p)), F.lit("")).alias(r) for r, p in place.items()])
+    # Unpacked as a generated row, the cells are computed once for all tests below.
+    out = rows.where(~is_subheader(F.col("cells"))).select("doc", "page", "tbl", "row", F.col("how").alias("source"), F.inline(F.array(cells)))
     literal = F.lit(False)
     for r in ("risk", "probability", "impact", "treatment"):
         literal = literal | is_literal(F.col(r), RISK_LITERALS)
@@ -238,13 +253,11 @@ def risk_rows(grid: DataFrame) -> DataFrame:
 
 def swap_columns(df: DataFrame, a: str, b: str, va: Vocabulary, vb: Vocabulary) -> DataFrame:
     """``df`` with two columns exchanged where both fit badly in place and well crossed, and a flag ``swapped``."""
-    scores = {}
-    for col in (a, b):
-        for v in (va, vb):
-            scores[col, v.name] = match_values(df, col, v).select(F.col(col).alias("__t"), F.col("score").alias(f"__{col}_{v.name}"))
+    texts = df.select(F.explode(F.array(a, b)).alias("t")).distinct()
+    fits = match_values(texts, "t", va).select("t", F.col("score").alias("sa")).join(match_values(texts, "t", vb).select("t", F.col("score").alias("sb")), "t")
     out = df
-    for (col, _), s in scores.items():
-        out = out.join(s, F.col(col).eqNullSafe(F.col("__t")), "left").drop("__t")
+    for col in (a, b):
+        out = out.join(fits.toDF("__t", f"__{col}_{va.name}", f"__{col}_{vb.name}"), F.col(col).eqNullSafe(F.col("__t")), "left").drop("__t")
     at = lambda col, v: F.col(f"__{col}_{v.name}")
     bad = (at(a, va) < 0.70) | (at(b, vb) < 0.70)
     swap = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "") & bad & (at(a, vb) >= 0.85) & (at(b, va) >= 0.85)
@@ -321,9 +334,9 @@ def table_deliveries(grid: DataFrame) -> DataFrame:
     document that had as many. Rows without a product and repeated headers are left out.
     """
     by = Window.partitionBy("doc").orderBy("page", "tbl").rowsBetween(Window.unboundedPreceding, 0)
-    roles = F.transform(HEADER, column_role)
+    roles = F.transform(F.col("header"), column_role)
     own = (F.array_contains(F.transform(roles, lambda r: F.coalesce(r, F.lit(""))), "produto")) | (F.size(F.array_compact(roles)) >= 2)
-    g = grid.where(F.size(HEADER) >= 3).withColumn("__r", F.when(own, roles)).withColumn("__c", F.last("__r", ignorenulls=True).over(by))
+    g = grid.where(F.size(F.col("header")) >= 3).withColumn("__r", F.when(own, roles)).withColumn("__c", F.last("__r", ignorenulls=True).over(by))
     g = g.where(F.col("__c").isNotNull() & (F.col("__r").isNotNull() | (F.size("__c") == F.size("header"))))
     lifted = g.where("__r is null").select("doc", "page", "tbl", "__c", F.lit(-1).alias("row"), F.col("header").alias("cells"))
     rows = g.select("doc", "page", "tbl", "__c", F.posexplode("rows").alias("row", "cells")).unionByName(lifted)
