@@ -40,17 +40,17 @@ def best_ratio(c: Column, terms: tuple[str, ...]) -> Column:
 
 
 def alias_rows(spark: SparkSession, vocab: Vocabulary) -> DataFrame:
-    """(key, target, score, rank): each alias as written and folded, ranked by place, the literal form first."""
+    """(form, key, target, a_score, a_rank): each alias as written (form 0) and folded (1), ranked by place, the literal form first."""
     rows = []
     for i, (k, v) in enumerate(vocab.aliases.items()):
-        rows += [(k.lower(), v, vocab.literal, 2 * i), (_plain(k), v, vocab.folded, 2 * i + 1)]
-    return spark.createDataFrame(rows, "key string, target string, a_score double, a_rank int")
+        rows += [(0, k.lower(), v, vocab.literal, 2 * i), (1, _plain(k), v, vocab.folded, 2 * i + 1)]
+    return spark.createDataFrame(rows, "form int, key string, target string, a_score double, a_rank int")
 
 
 def term_rows(spark: SparkSession, vocab: Vocabulary) -> DataFrame:
-    """(key, term, pos): the terms in lower case and folded."""
-    rows = {(k, t, i) for i, t in enumerate(vocab.terms) for k in (t.lower(), _plain(t))}
-    return spark.createDataFrame(sorted(rows, key=lambda r: (r[2], r[0])), "key string, term string, pos int")
+    """(form, key, term, pos): the terms in lower case (form 0) and folded (1)."""
+    rows = [(form, k, t, i) for i, t in enumerate(vocab.terms) for form, k in enumerate((t.lower(), _plain(t)))]
+    return spark.createDataFrame(rows, "form int, key string, term string, pos int")
 
 
 def match_method(score: Column, is_alias: Column, vocab: Vocabulary) -> Column:
@@ -68,9 +68,9 @@ def match_values(values: DataFrame, col: str, vocab: Vocabulary, *, fuzzy: bool
     spark = values.sparkSession
     v = values.select(F.col(col).alias("raw")).distinct().withColumn("low", F.lower(norm_text(F.col("raw"))))
     v = v.withColumn("fold", plain_latin(F.col("low")))
-    forms = v.select("raw", F.explode(F.array_distinct(F.array("low", "fold"))).alias("key"), (F.col("low") != "").alias("full")).where("full")
-    by_alias = forms.join(F.broadcast(alias_rows(spark, vocab)), "key").groupBy("raw").agg(F.min_by(F.struct("target", "a_score"), "a_rank").alias("a"))
-    by_term = forms.join(F.broadcast(term_rows(spark, vocab)), "key").groupBy("raw").agg(F.min_by("term", "pos").alias("t"))
+    forms = v.select("raw", F.posexplode(F.array("low", "fold")).alias("form", "key"), (F.col("low") != "").alias("full")).where("full")
+    by_alias = forms.join(F.broadcast(alias_rows(spark, vocab)), ["form", "key"]).groupBy("raw").agg(F.min_by(F.struct("target", "a_score"), "a_rank").alias("a"))
+    by_term = forms.join(F.broadcast(term_rows(spark, vocab)), ["form", "key"]).groupBy("raw").agg(F.min_by("term", "pos").alias("t"))
     same = lambda df, c: df.withColumnRenamed("raw", c)
     out = v.join(same(by_alias, "r1"), F.col("raw") == F.col("r1"), "left").join(same(by_term, "r2"), F.col("raw") == F.col("r2"), "left")
     known = F.col("a").isNotNull() | F.col("t").isNotNull() | (F.col("low") == "")
