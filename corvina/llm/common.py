@@ -33,7 +33,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there: later reads survive lost executors."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    # Shuffle files of finished steps go when the driver's JVM collects what refers to them.
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def lower_ascii(text: Column) -> Column:

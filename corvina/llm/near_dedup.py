@@ -2,8 +2,8 @@
 
 Every distinct text gets the k smallest hashes of its word shingles. Inverted lists of the
 retained values propose pairs: a text enters only the lists of its rarest values, as many
-as two texts that must share ``need`` of their k values can't both miss. In each list texts
-are first compared with two heads, then with members of other groups only, so large groups
+as two texts that must share ``need`` of their k values can't both miss. In a long list texts are first compared with its first
+text, then with one drawn from it, then with members of other groups only, so large groups
 of copies make no quadratic number of pairs. A union-sketch estimate thins the proposals
 and the exact Jaccard similarity of the full shingle sets confirms the rest.
 """
@@ -23,8 +23,10 @@ from corvina.llm.common import connected_components, cut
 
 #: Retained values of a text, and how many of them two texts at the threshold share but for chances below 1e-13.
 K, NEED = 64, 24
-#: Differing bits of 128 one-bit minhashes allowed, missed with chances below 1e-10 at similarity 0.8.
-SIGNATURE_BITS = 42
+#: Differing bits allowed of 128 and of 256 one-bit minhashes, missed with chances below 1e-10 at similarity 0.8.
+FEW_BITS, MANY_BITS = 42, 64
+#: Lists of at most so many texts are compared pair by pair at once.
+SHORT_LIST = 16
 #: Buckets of the broadcast set that thins the texts before they are shuffled: the set's size is bounded by it.
 BUCKETS = 1 << 20
 
@@ -54,19 +56,18 @@ def shingle_hashes(words: list[bytes], length: int, known: dict[bytes, int]) ->
     return np.unique(s)
 
 
-def _signature(h: np.ndarray) -> tuple[int, int]:
-    """128 bits: one of the smallest hash in each of 128 ranges, 0 for an empty range."""
-    bits = np.zeros(128, np.uint8)
+def _signature(h: np.ndarray) -> list[int]:
+    """256 bits as four numbers: one of the smallest hash in each of 256 ranges, 0 for an empty range."""
+    bits = np.zeros(256, np.uint8)
     if len(h):
-        at = h >> np.uint64(57)
+        at = h >> np.uint64(56)
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         with np.errstate(over="ignore"):
             bits[at[first].astype(np.int64)] = (h[first] * np.uint64(0x94D049BB133111EB)) >> np.uint64(63)
-    a = np.packbits(bits).view(">i8")
-    return int(a[0]), int(a[1])
+    return np.packbits(bits).view(">i8").tolist()
 
 
-_SKETCH = "rid long, key binary, n int, s1 long, s2 long, sketch array<long>"
+_SKETCH = "rid long, key binary, n int, s1 long, s2 long, s3 long, s4 long, sketch array<long>"
 
 
 def _sketcher(length: int, k: int):
@@ -79,7 +80,7 @@ def _sketcher(length: int, k: int):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 key = hashlib.md5(raw).digest()
                 if key in seen:
-                    rows.append((rid, key, seen[key], None, None, None))
+                    rows.append((rid, key, seen[key], None, None, None, None, None))
                     continue
                 h = shingle_hashes(raw.lower().split(), length, known)
                 if len(seen) > 100_000:
@@ -87,8 +88,8 @@ def _sketcher(length: int, k: int):
                 seen[key] = len(h)
                 rows.append((rid, key, len(h), *_signature(h), h[:k].astype(np.int64)))
             ids = batch["id"]
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            names = ["id", "rid", "key", "n", "s1", "s2", "sketch"]
+            kinds = (pa.int64(), pa.binary(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int64()))
+            names = ["id", "rid", "key", "n", "s1", "s2", "s3", "s4", "sketch"]
             yield pa.RecordBatch.from_arrays([ids, *([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds])], names)
 
     return run
@@ -132,37 +133,58 @@ def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int =
     schema = T.StructType([T.StructField("id", mine.schema["id"].dataType), *T._parse_datatype_string(_SKETCH).fields])
     base = cut(mine.mapInArrow(_sketcher(words, k), schema))
     reps = base.groupBy("key").agg(F.min("rid").alias("rep"))
-    rows = base.select("rid", "id", "n", "key").join(reps, "key").select("rid", "id", "n", "rep", "key")
-    nodes = cut(base.join(reps.select(F.col("rep").alias("rid")), "rid", "left_semi").where("n > 0").select(F.col("rid").alias("node"), "key", "n", "s1", "s2", "sketch"))
+    rows = cut(base.select("rid", "id", "n", "key").join(reps, "key").select("rid", "id", "n", "rep", "key"))
+    nodes = cut(base.join(rows.where("rid = rep and n > 0").select("rid"), "rid", "left_semi").select(F.col("rid").alias("node"), "key", "n", "s1", "s2", "s3", "s4", "sketch"))
+    del base, reps
     values = nodes.select("node", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     mine = values.join(shared, "v").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("l"))
-    facts = nodes.select("node", "n", F.size("sketch").alias("m"))
+    facts = nodes.select("node", "n", "s1", "s2", F.size("sketch").alias("m"))
     kept = F.col("m") - _need(F.col("n"), k, need, percent) + 1
     # Values that no other text retains are the rarest of all and take the first places.
     kept = F.greatest(kept - (F.col("m") - F.size("l")), F.lit(0))
-    lists = cut(mine.join(facts, "node").select("node", F.explode(F.slice("l", 1, kept)).alias("e")).select("node", F.col("e.v").alias("v")))
-    small = nodes.select("node", "n", "s1", "s2")
-    heads = lists.groupBy("v").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    stars = lists.join(heads, "v").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("node").alias("b")), F.struct(F.col("node").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b").distinct()
-    stars = stars.join(small.toDF("a", "na", "a1", "a2"), "a").join(small.toDF("b", "nb", "b1", "b2"), "b").where(_alike("na", "nb", "a1", "a2", "b1", "b2", percent)).select("a", "b")
-    first = confirm(stars, nodes, docs, words, percent, k, need, text_col)
-    labels = connected_components(first)
-    known = small.join(labels, small.node == labels.node, "left").select(small.node, "n", "s1", "s2", F.coalesce("root", small.node).alias("g"))
-    groups = lists.join(known, "node")
+    prefixes = cut(mine.join(facts, "node").select("node", "n", "s1", "s2", F.transform(F.slice("l", 1, kept), lambda e: e["v"]).alias("pre")).where(F.size("pre") > 0))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt by value once, the lists are counted and joined by value without moving again.
+    lists = prefixes.select("node", "n", "s1", "s2", F.explode("pre").alias("v")).repartition(parts, "v")
+    lists = lists.join(lists.groupBy("v").agg(F.count("*").alias("size")).where("size > 1"), "v")
+    pair = [F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")]
+    other = lambda df, *more: df.select("v", *[F.col(c).alias(c + "_") for c in ("node", "n", "s1", "s2", *more)])
+    check = lambda pairs: confirm(pairs.distinct(), nodes, docs, words, percent, k, need, text_col)
+    short = lists.where(F.col("size") <= SHORT_LIST).drop("size")
+    close = short.join(other(short), "v").where((F.col("node") < F.col("node_")) & _alike(2, FEW_BITS, percent)).select(*pair)
+    rest_of = nodes.select(F.col("node").alias("m"), "s3", "s4")
+    long_ = cut(lists.where(F.col("size") > SHORT_LIST).drop("size").join(rest_of, F.col("node") == F.col("m")).drop("m"))
+    alike = _alike(4, MANY_BITS, percent)
+
+    def starred(order: Column) -> DataFrame:
+        """Each member of a long list with the list's first one by ``order``."""
+        heads = long_.groupBy("v").agg(*[F.min_by(c, order).alias(c + "_") for c in ("node", "n", "s1", "s2", "s3", "s4")])
+        return long_.join(heads, "v").where((F.col("node") != F.col("node_")) & alike).select(*pair)
+
+    links = check(close.unionByName(starred(F.col("node"))))
+    labels = connected_components(links)
+    if long_.isEmpty():
+        return rows, labels
+    # Members that their list's first one didn't link are held against one drawn anew in each list.
+    of = labels.toDF("node", "g")
+    apart = lambda pairs: pairs.distinct().join(of.toDF("a", "ga"), "a", "left").join(of.toDF("b", "gb"), "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
+    links = cut(links.unionByName(check(apart(starred(F.xxhash64("node", "v"))))))
+    labels = connected_components(links)
+    # What is in different groups still is compared pair by pair, each pair in its first common list.
+    known = prefixes.join(labels, "node", "left").withColumn("g", F.coalesce("root", "node")).select("node", "g", "pre")
+    groups = long_.join(known, "node")
     mixed = groups.groupBy("v").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 < g1").select("v")
-    left = groups.join(mixed, "v", "left_semi")
-    right = left.select("v", *[F.col(c).alias(c + "_") for c in ("node", "n", "s1", "s2", "g")])
-    rest = left.join(right, (left.v == right.v) & (left.node < right.node_) & (left.g != right.g_) & _alike("n", "n_", "s1", "s2", "s1_", "s2_", percent)).select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
-    links = first.unionByName(confirm(rest, nodes, docs, words, percent, k, need, text_col))
-    return rows, connected_components(links)
-
-
-def _alike(n: str, m: str, a1: str, a2: str, b1: str, b2: str, percent: int) -> Column:
-    """Whether sizes and signatures allow the similarity."""
-    n, m = F.col(n), F.col(m)
-    bits = F.bit_count(F.col(a1).bitwiseXOR(F.col(b1))) + F.bit_count(F.col(a2).bitwiseXOR(F.col(b2)))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (bits <= SIGNATURE_BITS)
+    left = cut(groups.join(mixed, "v", "left_semi"))
+    first = F.array_min(F.array_intersect("pre", "pre_")) == F.col("v")
+    rest = left.join(other(left, "s3", "s4", "g", "pre"), "v").where((F.col("node") < F.col("node_")) & (F.col("g") != F.col("g_")) & alike & first).select(*pair)
+    return rows, connected_components(links.unionByName(check(rest)))
+
+
+def _alike(longs: int, most: int, percent: int) -> Column:
+    """Whether sizes and signatures of a row and its partner, whose columns end in _, allow the similarity."""
+    bits = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_"))) for i in range(1, longs + 1)), F.lit(0))
+    return (F.least("n", "n_") * 100 >= F.greatest("n", "n_") * percent) & (bits <= most)
 
 
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, k: int, need: int, text_col: str) -> DataFrame:
