@@ -40,7 +40,7 @@ def fold_text(text: str | None) -> str:
     """The words of the text, folded, each with a space around it."""
     t = (text or "").lower().translate(HOMOGLYPHS)
     if re.search(r"[^\W_][\d@$!]|[\d@$!][^\W_]", t):
-        t = re.sub(r"[^\W_]*(?:\d|(?<=[^\W_])[@$!](?=[^\W_]))(?:[^\W_]|[@$!](?=[^\W_]))*", lambda m: m[0].translate(SIGNS) if 2 * sum(c.isalpha() for c in m[0]) > len(m[0]) else m[0], t)
+        t = re.sub(r"[^\W_]*(?:\d|(?<=[^\W_])[@$!](?=[^\W_]))(?:[^\W_]|[@$!](?=[^\W_]))*", lambda m: m[0].translate(SIGNS) if 3 * sum(c.isalpha() for c in m[0]) > len(m[0]) else m[0], t)
     return f" {re.sub(r'[\W_]+', ' ', t).strip()} "
 
 
