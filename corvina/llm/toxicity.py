@@ -102,9 +102,9 @@ def learn(rows: Iterable[tuple[str | None, int]], *, most: int = 400, cover: int
     heads: set[tuple[int, int]] = set()
     for text, y in rows:
         folded = fold_text(text)
-        words = set(folded.split())
-        # Near copies share their smallest word hash nearly always; one of them teaches.
-        head = (y, min((zlib.crc32(w.encode()) for w in words), default=0))
+        words = folded.split()
+        # Near copies share the smallest hash of their word triples nearly always, other texts hardly ever; one of them teaches.
+        head = (y, min((zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))), default=0))
         if head not in heads:
             heads.add(head)
             texts[y].append(folded)
