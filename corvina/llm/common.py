@@ -30,6 +30,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def shielded(df: DataFrame, *cols: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named f0, f1, …, and the new names of ``cols``: no name in it can clash with an operator's own."""
+    names = df.columns
+    return df.toDF(*[f"f{i}" for i in range(len(names))]), [f"f{names.index(c)}" for c in cols]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there: later reads survive lost executors."""
     checkpoint_dir(df.sparkSession)

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvina.llm.common import NOT_WORD, cut, word_array
+from corvina.llm.common import NOT_WORD, cut, shielded, word_array
 
 #: Windows broadcast at once (about 100 bytes and up to 6 seeds each); more go in blocks, one scan of the documents each.
 BLOCK_WINDOWS = 200_000
@@ -102,20 +102,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, mode: str = "documen
     after it. Null texts and texts without words are never hit. Rows with equal id and
     text share one decision.
     """
-    found = find_windows(docs, benchmark, id_col=id_col, text_col=text_col, **how).where("n_hit > 0")
-    found = found.select(F.col("id").alias("__id"), F.col("code").alias("__code"), F.col("spans").alias("__spans"), (F.col("n_hit") / F.col("n_words")).alias("__share"))
-    code = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    same = docs[id_col].eqNullSafe(F.col("__id")) & (code == F.col("__code"))
+    inner, (id_, text_) = shielded(docs, id_col, text_col)
+    found = find_windows(inner, benchmark, id_col=id_, text_col=text_, **how).where("n_hit > 0")
+    found = found.select("id", "code", "spans", (F.col("n_hit") / F.col("n_words")).alias("share"))
+    same = F.col(id_).eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce(F.col(text_), F.lit(""))) == F.col("code"))
     if mode == "documents":
-        return docs.join(found.where(F.col("__share") > max_share), same, "left_anti")
+        return inner.join(found.where(F.col("share") > max_share), same, "left_anti").toDF(*docs.columns)
     if mode != "spans":
         raise ValueError(f"mode must be documents or spans, not {mode!r}")
     word = NOT_WORD.replace("[", "[^", 1).replace("\\x3A-\\x60", "\\x3A-\\x40\\x5B-\\x60")
-    parts = F.regexp_extract_all(F.col(text_col), F.lit(f"{word}(?:(?!{word})[\\s\\S])*"), F.lit(0))
-    kept = F.filter(parts, lambda x, i: ~F.exists("__spans", lambda s: (s["start"] <= i) & (i < s["end"])))
-    lead = F.regexp_extract(F.col(text_col), f"^(?:(?!{word})[\\s\\S])*", 0)
-    clean = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(F.concat(lead, F.array_join(kept, "")))
-    return docs.join(found, same, "left").select(*[clean.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    parts = F.regexp_extract_all(F.col(text_), F.lit(f"{word}(?:(?!{word})[\\s\\S])*"), F.lit(0))
+    kept = F.filter(parts, lambda x, i: ~F.exists("spans", lambda s: (s["start"] <= i) & (i < s["end"])))
+    lead = F.regexp_extract(F.col(text_), f"^(?:(?!{word})[\\s\\S])*", 0)
+    clean = F.when(F.col("spans").isNull(), F.col(text_)).otherwise(F.concat(lead, F.array_join(kept, "")))
+    return inner.join(found, same, "left").select(*[clean.alias(c) if c == text_ else F.col(c) for c in inner.columns]).toDF(*docs.columns)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
