@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvina.llm.common import connected_components, cut
+from corvina.llm.common import connected_components, cut, shielded
 
 #: Retained values of a text, and how many of them two texts at the threshold share but for chances below 1e-13.
 K, NEED = 64, 24
@@ -221,13 +221,13 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each near-duplicate component; blank texts all stay; columns as they are."""
-    key = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    best = found.where("kept and n_shingles > 0").groupBy("component_id").agg(F.min("key").alias("__key")).select(F.col("component_id").alias("__id"), "__key")
-    mine = docs.withColumn("__k", key).withColumn("__n", F.col(text_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
-    blank = mine.where(~F.col("__n"))
-    rest = mine.where("__n").join(best, mine[id_col].eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__key")), "left_semi").dropDuplicates([id_col, "__k"])
-    return rest.unionByName(blank).select(*docs.columns)
+    inner, (id_, text_) = shielded(docs, id_col, text_col)
+    found = near_duplicates(inner, id_col=id_, text_col=text_, **how)
+    best = found.where("kept and n_shingles > 0").groupBy("component_id").agg(F.min("key").alias("best"))
+    text = F.col(text_).cast("string")
+    mine = inner.withColumn("k", F.unhex(F.md5(F.coalesce(text, F.lit(""))))).withColumn("full", F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    rest = mine.where("full").join(best, F.col(id_).eqNullSafe(F.col("component_id")) & (F.col("k") == F.col("best")), "left_semi").dropDuplicates([id_, "k"])
+    return rest.unionByName(mine.where("not full")).select(*inner.columns).toDF(*docs.columns)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
