@@ -8,10 +8,14 @@ occurrences; a whole block decodes plane by plane.
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +27,28 @@ from corvina.llm.common import checkpoint_dir
 
 #: Tokens gathered for a block before it is written; a document is never parted.
 BLOCK_TOKENS = 2_000_000
-#: Word pieces whose ids a worker remembers.
-KNOWN_PIECES = 500_000
-#: Documents, and characters of texts, encoded at a time.
-SPAN = 64
+#: Word pieces whose ids a worker remembers; once it has so many it learns no more, and the frequent ones come early.
+KNOWN_PIECES = 400_000
+#: Documents encoded at a time.
+SPAN = 256
+#: Marks that are no part of a word and never begin a contraction.
+MARKS = ".,;:!?|*#$%&"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else the next from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct word piece encoded once.
 
     The byte-level pre-tokenizer always parts a text between a character that isn't white space
-    and a space after it, so a text's ids are those of its pieces between such places. Pieces that end
-    in white space don't part there; a text with one is encoded as a whole.
+    and a space after it, so a text's ids are those of its pieces between such places. A piece that
+    ends in white space doesn't part there; a text with one is encoded as a whole. It also parts a run of
+    letters from marks behind it, so the library's model takes the letters of such a piece alone.
     """
 
     def __init__(self, path: str):
@@ -42,27 +56,68 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.rest: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.known: dict[str, bytes] = {}
+
+    @classmethod
+    def shared(cls, path: str) -> Encoder:
+        """This worker's encoder: it outlives a task, so later tasks of a reused worker know its pieces."""
+        state = sys.modules.setdefault("_corvina_worker", types.ModuleType("_corvina_worker"))
+        encoders = state.__dict__.setdefault("encoders", {})
+        if path not in encoders:
+            encoders[path] = cls(path)
+        return encoders[path]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, text: str, space: bool) -> bytes:
+        """Ids of one pre-token of letters or marks, with a space before it or none."""
+        raw = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
+        return array("I", [t.id for t in self.model.tokenize(self.letters[0x20] + raw if space else raw)]).tobytes()
+
+    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Ids of new pieces, each with a space before it."""
+        new: dict[str, bytes] = {}
+        odd = []
+        for w in pieces:
+            core = w.rstrip(MARKS)
+            if core.isalpha():
+                ids = new.get(core) or self.known.get(core)
+                if ids is None:
+                    new[core] = ids = self._word(core, True)
+                if len(core) < len(w):
+                    new[w] = ids + self._mark(w[len(core) :])
+            elif w and not w[-1].isspace():
+                odd.append(w)
+        new.update(zip(odd, self._ids([" " + w for w in odd])))
+        for w in new:
+            if len(self.known) >= KNOWN_PIECES:
+                break
+            self.known[w] = new[w]
+        return new
+
+    def _mark(self, marks: str) -> bytes:
+        # Marks without a space before them, kept under a key that no piece can have.
+        key = "\n" + marks
+        if (ids := self.known.get(key)) is None:
+            ids = self._word(marks, False)
+            if len(marks) < 8:
+                self.known[key] = ids
+        return ids
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.rest) > KNOWN_PIECES:
-            self.rest.clear()
-        rest = self.rest
+        known = self.known
         parts = [(t or "").split(" ") for t in texts]
-        new: dict[str, None] = {}
-        for p in parts:
-            new.update(dict.fromkeys([w for w in p[1:] if w not in rest]))
-        missing = [w for w in new if w and not w[-1].isspace()]
-        for w, ids in zip(missing, self._ids([" " + w for w in missing])):
-            rest[w] = ids
+        new = self._learn(set().union(*(islice(p, 1, None) for p in parts)).difference(known))
         heads = self._ids([p[0] for p in parts])
         out: list[bytes | None] = []
         for p, head in zip(parts, heads):
-            got = [rest.get(w) for w in p[1:]]
+            got = list(map(known.get, islice(p, 1, None)))
+            if None in got:
+                got = [new.get(w) if x is None else x for w, x in zip(islice(p, 1, None), got)]
             whole = None in got or (len(p) > 1 and (not p[0] or p[0][-1].isspace()))
             out.append(None if whole else head + b"".join(got))
         odd = [i for i, x in enumerate(out) if x is None]
@@ -177,7 +232,7 @@ def _writer(path: str, end: int, depth: int, block_tokens: int):
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        encoder = Encoder(path)
+        encoder = Encoder.shared(path)
         ids: list[pa.Array] = []
         lengths: list[int] = []
         tokens: list[np.ndarray] = []
