@@ -28,7 +28,7 @@ from corvina.llm.common import checkpoint_dir
 #: Tokens gathered for a block before it is written; a document is never parted.
 BLOCK_TOKENS = 2_000_000
 #: Word pieces whose ids a worker remembers; once it has so many it learns no more, and the frequent ones come early.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 1_000_000
 #: Documents encoded at a time.
 SPAN = 256
 #: Marks that are no part of a word and never begin a contraction.
