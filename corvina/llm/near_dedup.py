@@ -205,25 +205,26 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, per
 
 
 def near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept, key (the text's MD5).
+    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept, key (the text's MD5), group.
 
     A null, empty or blank text has no shingles and is linked with nothing: it is its own
     component. Rows with a null id take part; a component without any id has the null id.
     kept marks rows whose id is their component's, so rows that repeat that id are all marked.
+    group tells components apart, which ids don't where they are null or repeated: linked and equal texts share it.
     """
     rows, labels = link_classes(docs, **how)
     nodes = rows.where("n > 0").groupBy("rep").agg(F.min("id").alias("least")).join(labels, F.col("rep") == F.col("node"), "left").select("rep", "least", "root")
     tops = nodes.where("root is not null").groupBy("root").agg(F.min("least").alias("top"))
-    nodes = nodes.join(tops, "root", "left").select("rep", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("top")).alias("component"))
+    nodes = nodes.join(tops, "root", "left").select("rep", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("top")).alias("component"), F.coalesce("root", "rep").alias("group"))
     out = rows.join(nodes, "rep", "left").withColumn("component_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")))
-    return out.select("id", F.col("n").cast("long").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "key")
+    return out.select("id", F.col("n").cast("long").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "key", F.coalesce("group", "rep").alias("group"))
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each near-duplicate component; blank texts all stay; columns as they are."""
     inner, (id_, text_) = shielded(docs, id_col, text_col)
     found = near_duplicates(inner, id_col=id_, text_col=text_, **how)
-    best = found.where("kept and n_shingles > 0").groupBy("component_id").agg(F.min("key").alias("best"))
+    best = found.where("kept and n_shingles > 0").groupBy("group", "component_id").agg(F.min("key").alias("best"))
     text = F.col(text_).cast("string")
     mine = inner.withColumn("k", F.unhex(F.md5(F.coalesce(text, F.lit(""))))).withColumn("full", F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     rest = mine.where("full").join(best, F.col(id_).eqNullSafe(F.col("component_id")) & (F.col("k") == F.col("best")), "left_semi").dropDuplicates([id_, "k"])

@@ -104,6 +104,13 @@ def test_keep_one(spark, docs, none):
     assert near_dedup.keep_one(none).isEmpty()
 
 
+def test_keep_one_tells_components_apart(spark):
+    """Null and repeated ids are no components: texts that aren't alike all stay."""
+    rows = [(None, "alpha beta gamma delta epsilon zeta"), (None, "one two three four five six"), (None, "one two three four five six"), (None, "red green blue black white grey"), (7, "north east south west up down"), (7, "spring summer autumn winter again"), (8, "spring summer autumn winter again"), (9, " ")]
+    got = sorted(((r["doc_id"], r["text"]) for r in near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()), key=repr)
+    assert got == sorted({r for r in rows if r[0] != 8}, key=repr)
+
+
 def edit(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
