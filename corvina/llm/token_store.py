@@ -49,25 +49,29 @@ class Encoder:
     and a space after it, so a text's ids are those of its pieces between such places. A piece that
     ends in white space doesn't part there; a text with one is encoded as a whole. It also parts a run of
     letters from marks behind it, so the library's model takes the letters of such a piece alone.
+
+    With ``literal``, a special token's wording in a text is ordinary letters; without, it gets the
+    token's id, the library's default. A text with an added token's wording is encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (literal and t.special)]
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
     @classmethod
-    def shared(cls, path: str) -> Encoder:
+    def shared(cls, path: str, literal: bool = True) -> Encoder:
         """This worker's encoder: it outlives a task, so later tasks of a reused worker know its pieces."""
         state = sys.modules.setdefault("_corvina_worker", types.ModuleType("_corvina_worker"))
         encoders = state.__dict__.setdefault("encoders", {})
-        if path not in encoders:
-            encoders[path] = cls(path)
-        return encoders[path]
+        if (path, literal) not in encoders:
+            encoders[path, literal] = cls(path, literal)
+        return encoders[path, literal]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -114,11 +118,11 @@ class Encoder:
         new = self._learn(set().union(*(islice(p, 1, None) for p in parts)).difference(known))
         heads = self._ids([p[0] for p in parts])
         out: list[bytes | None] = []
-        for p, head in zip(parts, heads):
+        for t, p, head in zip(texts, parts, heads):
             got = list(map(known.get, islice(p, 1, None)))
             if None in got:
                 got = [new.get(w) if x is None else x for w, x in zip(islice(p, 1, None), got)]
-            whole = None in got or (len(p) > 1 and (not p[0] or p[0][-1].isspace()))
+            whole = None in got or (len(p) > 1 and (not p[0] or p[0][-1].isspace())) or any(a in (t or "") for a in self.added)
             out.append(None if whole else head + b"".join(got))
         odd = [i for i, x in enumerate(out) if x is None]
         for i, ids in zip(odd, self._ids([texts[i] for i in odd])):
@@ -227,12 +231,12 @@ class WaveletMatrix:
         return cls(n, np.frombuffer(data, np.uint8, depth * -(-n // 8), at).reshape(depth, -1), zeros, ranks)
 
 
-def _writer(path: str, end: int, depth: int, block_tokens: int):
+def _writer(path: str, end: int, depth: int, block_tokens: int, literal: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        encoder = Encoder.shared(path)
+        encoder = Encoder.shared(path, literal)
         ids: list[pa.Array] = []
         lengths: list[int] = []
         tokens: list[np.ndarray] = []
@@ -266,11 +270,11 @@ def _writer(path: str, end: int, depth: int, block_tokens: int):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end: int = 0, depth: int = 16, partitions: int | None = None, block_tokens: int = BLOCK_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end: int = 0, depth: int = 16, partitions: int | None = None, block_tokens: int = BLOCK_TOKENS, literal: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of every whole text of ``docs``, and ``end`` after each, as wavelet blocks under ``path``.
 
     Rows are in ascending order of the id, null first, then of the text; a null text is empty. ``depth``
-    is the number of bits of the largest id. Files are Parquet with one zstd-compressed record a block.
+    is the number of bits of the largest id. A special token's wording gets its id unless ``literal``. Files are Parquet with one zstd-compressed record a block.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -279,7 +283,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end: int = 0, de
     parted = mine.repartitionByRange(n, "id").sortWithinPartitions("id", F.xxhash64("text"))
     kind = mine.schema["id"].dataType
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("lengths", T.ArrayType(T.LongType())), T.StructField("block", T.BinaryType())])
-    parted.mapInArrow(_writer(tokenizer, end, depth, block_tokens), schema).write.option("compression", "zstd").parquet(path)
+    parted.mapInArrow(_writer(tokenizer, end, depth, block_tokens, literal), schema).write.option("compression", "zstd").parquet(path)
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -89,6 +89,21 @@ def test_encoder_equals_library():
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [t.encode(x or "", add_special_tokens=False).ids for x in odd]
 
 
+def test_special_tokens_as_the_library(spark):
+    """Files hold the ids of plain library encoding, special tokens' wording included."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(token_store.byte_bpe())
+    odd = ["a <|endoftext|> hi", "<|endoftext|>", "<|endoftext|> hi you", "x<|endoftext|>y z", "a  <|endoftext|>. b", "a |endoftext| <|endoftext", "a \n<|endoftext|>\n b", "plain words only", None]
+    ids = [t.encode(x or "", add_special_tokens=False).ids for x in odd]
+    assert 50256 in ids[0] and len(ids[0]) == 4
+    encoder = token_store.Encoder(token_store.byte_bpe(), literal=False)
+    assert [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(odd)] == ids
+    df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.encode_and_read(df, tokenizer=token_store.byte_bpe()).collect()}
+    assert got == {i: (len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for i, x in enumerate(ids)}
+
+
 def test_token_files(spark, texts, none):
     from tokenizers import Tokenizer
 
