@@ -146,6 +146,34 @@ def test_lines_by_brute_force(spark):
     assert line_dedup.removed_lines(df.where("false")).isEmpty()
 
 
+def test_lines_by_edit_similarity_alone(spark):
+    """Lines of many lengths with letters changed up to the similarity: all short pairs are found, and nearly all others."""
+    import random
+
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 9)))
+    rows, near = [], []
+    for i in range(240):
+        line = " ".join(word() for _ in range(1 + i % 40))
+        new, most = list(line), math.floor(0.15 * len(line) + 1e-9)
+        places = [k for k, x in enumerate(line) if x != " "]
+        for k in r.sample(places, min(most if i % 2 else 1, most, len(places))):
+            new[k] = r.choice("qrstuvwxyz")
+        rows += [(2 * i, line), (2 * i + 1, "".join(new))]
+        if line != rows[-1][1]:
+            near.append((2 * i + 1, len(line), i % 2))
+    rows += [(1000, "a bb"), (1001, "a bc"), (1002, "seven letters"), (1003, "seven letter"), (1004, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    gone = {x["id"] for x in line_dedup.removed_lines(df, by="edit").collect()}
+    short = [(i, t) for i, t in rows if t and len(t) <= 40]
+    must = {b for k, (b, y) in enumerate(short) for a, x in short[:k] if edit(x, y) <= math.floor(0.15 * max(len(x), len(y)) + 1e-9)}
+    assert must <= gone and 1003 in gone and 1001 not in gone and not gone & {i for i, _ in rows if i % 2 == 0 and i < 1000} - must
+    one, worst = [[i in gone for i, n, kind in near if kind == k and n > 40] for k in (0, 1)]
+    assert len(one) > 80 and all(one) and len(worst) > 80 and sum(worst) >= 0.8 * len(worst)
+    with pytest.raises(ValueError, match="linked"):
+        line_dedup.removed_lines(df, by="words")
+
+
 def test_simhash_of_long_lines(spark):
     words = [[f"w{i}" for i in range(n)] for n in (1, 2, 255, 256, 700)]
     rows = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w array<string>")
