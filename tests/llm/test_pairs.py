@@ -181,3 +181,8 @@ def test_simhash_of_long_lines(spark):
     for r in got:
         want = sum(1 << k for k in range(64) if 2 * sum((h >> k) & 1 for h in r["h"]) > len(r["h"]))
         assert r["s"] & (2**64 - 1) == want
+
+
+def test_simhash_of_millions_of_words(spark):
+    got = spark.range(2_200_000).select(F.lit("w").alias("x")).agg(F.count("*").alias("m"), F.min(F.xxhash64("x")).alias("h"), *line_dedup.bit_counts(F.col("x"))).select("h", line_dedup.majority(F.col("m")).alias("s")).first()
+    assert got["s"] == got["h"]
