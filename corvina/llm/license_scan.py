@@ -18,15 +18,37 @@ from pyspark.sql import functions as F
 
 #: Base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Templates and their labels: common notices and the opening wording of common licenses.
+#: Parts of the license texts below.
+_GRANT = "permission is hereby granted free of charge to any person obtaining a copy of this <<3>> and associated documentation files [[the <<2>>]] to deal in the <<2>> without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the <<2>>"
+_FURNISHED = "and to permit persons to whom the <<2>> is furnished to do so"
+_MIT_TAIL = "the <<2>> is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the <<6>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the <<2>> or the use or other dealings in the <<2>>"
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+_BSD_TWO = "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+_BSD_ADS = "[[3]] all advertising materials mentioning features or use of this software must display the following acknowledgement this product includes software developed by <<20>>"
+_BSD_NAMES = "neither the name of <<12>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_BSD_TAIL = "this software is provided by <<12>> as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<12>> be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+_ISC = "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted"
+_ISC_NOTICE = "provided that the above copyright notice and this permission notice appear in all copies"
+_ISC_TAIL = "the software is provided as is and <<6>> disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall <<6>> be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"
+_GPL = "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version <<2>> of the license or [[at your option]] any later version"
+_GPL_REST = "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details you should have received a copy of the gnu general public license along with this program"
+#: Templates and their labels: common notices, and common licenses by their whole mandatory wording or by their opening alone.
 TEMPLATES = {
     "gpl-notice": ("[[this <<3>> is]] licensed under the [[terms of the]] gnu general public license version <<1>>",),
-    "gpl-header": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version <<2>> of the license or [[at your option]] any later version",),
+    "gpl-header": (f"{_GPL} {_GPL_REST}",),
+    "gpl-opening": (_GPL,),
     "apache-2.0-notice": ("licensed under the apache license version 2 0 [[the license you may not use this file except in compliance with the license]]",),
     "mit-notice": ("[[this <<3>> is]] released under the [[terms of the]] mit license", "[[this <<3>> is]] licensed under the [[terms of the]] mit license"),
-    "mit-text": ("permission is hereby granted free of charge to any person obtaining a copy of this <<3>> and associated documentation files [[the <<2>>]] to deal in the <<2>> without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the <<2>>",),
-    "bsd-text": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",),
-    "isc-text": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted [[provided that the above copyright notice and this permission notice appear in all copies]]",),
+    "mit-text": (f"{_GRANT} {_FURNISHED} subject to the following conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the <<2>> {_MIT_TAIL}",),
+    "mit-0-text": (f"{_GRANT} {_FURNISHED} {_MIT_TAIL}",),
+    "mit-opening": (_GRANT,),
+    "bsd-2-clause-text": (f"{_BSD} {_BSD_TWO} {_BSD_TAIL}",),
+    "bsd-3-clause-text": (f"{_BSD} {_BSD_TWO} [[3]] {_BSD_NAMES} {_BSD_TAIL}",),
+    "bsd-4-clause-text": (f"{_BSD} {_BSD_TWO} {_BSD_ADS} [[4]] {_BSD_NAMES} {_BSD_TAIL}",),
+    "bsd-opening": (_BSD,),
+    "isc-text": (f"{_ISC} {_ISC_NOTICE} {_ISC_TAIL}",),
+    "0bsd-text": (f"{_ISC} {_ISC_TAIL}",),
+    "isc-opening": (_ISC,),
     "cc-by-notice": ("licensed under [[a]] [[creative commons]] cc by <<1>> 0",),
     "cc-by-sa-notice": ("licensed under [[a]] [[creative commons]] cc by sa <<1>> 0",),
     "cc-by-nc-notice": ("licensed under [[a]] [[creative commons]] cc by nc <<1>> 0",),
