@@ -3,9 +3,14 @@
 Every distinct text gets the k smallest hashes of its word shingles. Inverted lists of the
 retained values propose pairs: a text enters only the lists of its rarest values, as many
 as two texts that must share ``need`` of their k values can't both miss. In a long list texts are first compared with its first
-text, then with one drawn from it, then with members of other groups only, so large groups
-of copies make no quadratic number of pairs. A union-sketch estimate thins the proposals
+text, then each with a few drawn from one of its lists, so large groups of copies make no
+quadratic number of pairs. What is in different groups then is compared in cells of bounded size, and
+only pairs that may be linked leave a cell. A union-sketch estimate thins the proposals
 and the exact Jaccard similarity of the full shingle sets confirms the rest.
+
+A text's odd sketch has a bit for the parity of the shingles of each bucket. Where the bits of two texts
+differ, at least one shingle is in one set alone, so the number of differing bits is a lower bound of
+the sets' difference: it drops unlinked members of one family of copies and never a link.
 """
 
 from __future__ import annotations
@@ -25,8 +30,12 @@ from corvina.llm.common import connected_components, cut, shielded
 K, NEED = 64, 24
 #: Differing bits allowed of 128 and of 256 one-bit minhashes, missed with chances below 1e-10 at similarity 0.8.
 FEW_BITS, MANY_BITS = 42, 64
-#: Lists of at most so many texts are compared pair by pair at once.
-SHORT_LIST = 16
+#: Lists of at most so many texts are compared pair by pair at once; longer ones in cells of about CELL texts.
+SHORT_LIST, CELL = 16, 1024
+#: Texts drawn from a long list to be compared with its members.
+HEADS = 16
+#: Bits of an odd sketch, in numbers of 64.
+ODD_BITS = 1024
 #: Buckets of the broadcast set that thins the texts before they are shuffled: the set's size is bounded by it.
 BUCKETS = 1 << 20
 
@@ -67,7 +76,19 @@ def _signature(h: np.ndarray) -> list[int]:
     return np.packbits(bits).view(">i8").tolist()
 
 
-_SKETCH = "rid long, key binary, n int, s1 long, s2 long, s3 long, s4 long, sketch array<long>"
+def _odd(h: np.ndarray) -> list[int]:
+    """Whether the number of hashes in each of ODD_BITS buckets is odd; the buckets don't follow the hashes' order."""
+    counts = np.bincount((h & np.uint64(ODD_BITS - 1)).astype(np.int64), minlength=ODD_BITS)
+    return np.packbits(counts.astype(np.uint8) & 1).view(">i8").tolist()
+
+
+_SKETCH = "rid long, key binary, n int, s1 long, s2 long, s3 long, s4 long, odd array<long>, sketch array<long>"
+
+
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The column's texts, a few at a time as Python strings."""
+    for a in range(0, len(column), 64):
+        yield from column.slice(a, 64).to_pylist()
 
 
 def _sketcher(length: int, k: int):
@@ -76,20 +97,20 @@ def _sketcher(length: int, k: int):
         seen: dict[bytes, int] = {}
         for batch in batches:
             rows = []
-            for rid, text in zip(batch["rid"].to_pylist(), batch["text"].to_pylist()):
+            for rid, text in zip(batch["rid"].to_pylist(), _texts(batch["text"])):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 key = hashlib.md5(raw).digest()
                 if key in seen:
-                    rows.append((rid, key, seen[key], None, None, None, None, None))
+                    rows.append((rid, key, seen[key], None, None, None, None, None, None))
                     continue
                 h = shingle_hashes(raw.lower().split(), length, known)
                 if len(seen) > 100_000:
                     seen.clear()
                 seen[key] = len(h)
-                rows.append((rid, key, len(h), *_signature(h), h[:k].astype(np.int64)))
+                rows.append((rid, key, len(h), *_signature(h), _odd(h), h[:k].astype(np.int64)))
             ids = batch["id"]
-            kinds = (pa.int64(), pa.binary(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int64()))
-            names = ["id", "rid", "key", "n", "s1", "s2", "s3", "s4", "sketch"]
+            kinds = (pa.int64(), pa.binary(), pa.int32(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2)
+            names = ["id", "rid", "key", "n", "s1", "s2", "s3", "s4", "odd", "sketch"]
             yield pa.RecordBatch.from_arrays([ids, *([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds])], names)
 
     return run
@@ -105,7 +126,7 @@ def _verifier(length: int, percent: int):
         last, held = None, set()
         for batch in batches:
             a, b = [], []
-            for x, y, tx, ty in zip(*(batch[c].to_pylist() for c in ("a", "b", "ta", "tb"))):
+            for x, y, tx, ty in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), _texts(batch["ta"]), _texts(batch["tb"])):
                 if x != last:
                     last, held = x, shingles(tx)
                 other = shingles(ty)
@@ -134,7 +155,7 @@ def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int =
     base = cut(mine.mapInArrow(_sketcher(words, k), schema))
     reps = base.groupBy("key").agg(F.min("rid").alias("rep"))
     rows = cut(base.select("rid", "id", "n", "key").join(reps, "key").select("rid", "id", "n", "rep", "key"))
-    nodes = cut(base.join(rows.where("rid = rep and n > 0").select("rid"), "rid", "left_semi").select(F.col("rid").alias("node"), "key", "n", "s1", "s2", "s3", "s4", "sketch"))
+    nodes = cut(base.join(rows.where("rid = rep and n > 0").select("rid"), "rid", "left_semi").select(F.col("rid").alias("node"), "key", "n", "s1", "s2", "s3", "s4", "odd", "sketch"))
     del base, reps
     values = nodes.select("node", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
@@ -153,34 +174,58 @@ def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int =
     check = lambda pairs: confirm(pairs.distinct(), nodes, docs, words, percent, k, need, text_col)
     short = lists.where(F.col("size") <= SHORT_LIST).drop("size")
     close = short.join(other(short), "v").where((F.col("node") < F.col("node_")) & _alike(2, FEW_BITS, percent)).select(*pair)
-    rest_of = nodes.select(F.col("node").alias("m"), "s3", "s4")
+    rest_of = nodes.select(F.col("node").alias("m"), "s3", "s4", "odd")
     long_ = cut(lists.where(F.col("size") > SHORT_LIST).drop("size").join(rest_of, F.col("node") == F.col("m")).drop("m"))
-    alike = _alike(4, MANY_BITS, percent)
-
-    def starred(order: Column) -> DataFrame:
-        """Each member of a long list with the list's first one by ``order``."""
-        heads = long_.groupBy("v").agg(*[F.min_by(c, order).alias(c + "_") for c in ("node", "n", "s1", "s2", "s3", "s4")])
-        return long_.join(heads, "v").where((F.col("node") != F.col("node_")) & alike).select(*pair)
-
-    links = check(close.unionByName(starred(F.col("node"))))
+    alike = _alike(4, MANY_BITS, percent) & (_odd_bits() * (100 + percent) <= (F.col("n") + F.col("n_")) * (100 - percent))
+    facts_of = ["node", "n", "s1", "s2", "s3", "s4", "odd"]
+    heads = long_.groupBy("v").agg(*[F.min_by(c, "node").alias(c + "_") for c in facts_of])
+    starred = long_.join(heads, "v").where((F.col("node") != F.col("node_")) & alike).select(*pair)
+    links = check(close.unionByName(starred))
     labels = connected_components(links)
     if long_.isEmpty():
         return rows, labels
-    # Members that their list's first one didn't link are held against one drawn anew in each list.
-    of = labels.toDF("node", "g")
-    apart = lambda pairs: pairs.distinct().join(of.toDF("a", "ga"), "a", "left").join(of.toDF("b", "gb"), "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
-    links = cut(links.unionByName(check(apart(starred(F.xxhash64("node", "v"))))))
+    grouped = lambda labels: long_.join(labels, "node", "left").withColumn("g", F.coalesce("root", "node")).drop("root")
+    mixed_of = lambda df: df.join(df.groupBy("v").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 < g1").select("v"), "v", "left_semi")
+    # Each text meets HEADS others of the first of its lists that hold several groups still.
+    mixed = cut(mixed_of(grouped(labels)).select("v", *facts_of, "g"))
+    drawn = mixed.groupBy("v").agg(F.array_distinct(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(HEADS)])).alias("heads"))
+    one = mixed.groupBy("node").agg(F.min("v").alias("v")).join(drawn, "v").select("node", F.explode("heads").alias("node_"))
+    heads = mixed.join(drawn.select(F.explode("heads").alias("node")).distinct(), "node", "left_semi").select(*[F.col(c).alias(c + "_") for c in (*facts_of, "g")]).dropDuplicates(["node_"])
+    each = mixed.select(*facts_of, "g").dropDuplicates(["node"])
+    met = one.join(heads, "node_").join(each, "node").where((F.col("g") != F.col("g_")) & alike).select(*pair)
+    links = cut(links.unionByName(check(met)))
     labels = connected_components(links)
-    # What is in different groups still is compared pair by pair, each pair in its first common list.
-    known = prefixes.join(labels, "node", "left").withColumn("g", F.coalesce("root", "node")).select("node", "g", "pre")
-    groups = long_.join(known, "node")
-    mixed = groups.groupBy("v").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 < g1").select("v")
-    left = cut(groups.join(mixed, "v", "left_semi"))
-    first = F.array_min(F.array_intersect("pre", "pre_")) == F.col("v")
-    rest = left.join(other(left, "s3", "s4", "g", "pre"), "v").where((F.col("node") < F.col("node_")) & (F.col("g") != F.col("g_")) & alike & first).select(*pair)
+    # What is in different groups still is compared in cells, each pair in its first common list.
+    known = mixed_of(grouped(labels)).join(prefixes.select("node", "pre"), "node").select("v", *facts_of, "g", "pre")
+    rest = _cells(cut(known), alike).select(*pair)
     return rows, connected_components(links.unionByName(check(rest)))
 
 
+def _odd_bits() -> Column:
+    """How many bits of a row's odd sketch differ from its partner's: at most as many as the sets' difference."""
+    return sum((F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("odd_")[i])) for i in range(ODD_BITS // 64)), F.lit(0))
+
+
+def _cells(members: DataFrame, alike: Column) -> DataFrame:
+    """Pairs (node, node_) of different groups g that share a list v and are ``alike``, each in its first common list.
+
+    A list's largest group needs no comparison inside, so only its other members, in cells, meet all cells.
+    """
+    sizes = members.groupBy("v", "g").agg(F.count("*").alias("c"))
+    sizes = sizes.groupBy("v").agg(F.max_by("g", F.struct("c", "g")).alias("core"), F.max("c").alias("most"), F.sum("c").alias("all"))
+    cells = lambda n: F.greatest(F.ceil(n / CELL), F.lit(1)).cast("int")
+    sizes = sizes.select("v", "core", cells(F.col("all") - F.col("most")).alias("few"), cells(F.col("most")).alias("many"))
+    dealt = members.join(sizes, "v").withColumn("rest", F.col("g") != F.col("core"))
+    dealt = dealt.withColumn("cell", F.when(F.col("rest"), F.pmod(F.xxhash64("node"), F.col("few"))).otherwise(F.col("few") + F.pmod(F.xxhash64("node"), F.col("many"))).cast("int"))
+    names = ["node", "n", "s1", "s2", "s3", "s4", "odd", "g", "pre"]
+    left = dealt.where("rest").withColumn("with", F.explode(F.sequence(F.col("cell"), F.col("few") + F.col("many") - 1))).select("v", F.col("cell").alias("i"), F.col("with").alias("j"), *names)
+    most = F.when(F.col("rest"), F.col("cell")).otherwise(F.col("few") - 1)
+    right = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), most))).select("v", F.col("with").alias("i"), F.col("cell").alias("j"), *[F.col(c).alias(c + "_") for c in names])
+    first = F.array_min(F.array_intersect("pre", "pre_")) == F.col("v")
+    once = (F.col("i") < F.col("j")) | (F.col("node") < F.col("node_"))
+    return left.join(right, ["v", "i", "j"]).where(once & (F.col("g") != F.col("g_")) & alike & first).select("node", "node_")
+
+
 def _alike(longs: int, most: int, percent: int) -> Column:
     """Whether sizes and signatures of a row and its partner, whose columns end in _, allow the similarity."""
     bits = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_"))) for i in range(1, longs + 1)), F.lit(0))
