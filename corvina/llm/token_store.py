@@ -12,13 +12,12 @@ import sys
 import types
 import uuid
 import zlib
-from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,10 +26,14 @@ from corvina.llm.common import checkpoint_dir
 
 #: Tokens gathered for a block before it is written; a document is never parted.
 BLOCK_TOKENS = 2_000_000
+#: Bytes of text in a partition of the files, as far as the session's number of partitions isn't larger.
+PARTITION_BYTES = 256 << 20
 #: Word pieces whose ids a worker remembers; once it has so many it learns no more, and the frequent ones come early.
-KNOWN_PIECES = 1_000_000
-#: Documents encoded at a time.
-SPAN = 256
+KNOWN_PIECES = 600_000
+#: Bytes of text encoded at a time, a longer document by itself.
+SPAN_BYTES = 8_000_000
+#: A span with a new piece of more bytes isn't remembered.
+LONG_PIECE = 400
 #: Marks that are no part of a word and never begin a contraction.
 MARKS = ".,;:!?|*#$%&"
 
@@ -46,9 +49,9 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct word piece encoded once.
 
     The byte-level pre-tokenizer always parts a text between a character that isn't white space
-    and a space after it, so a text's ids are those of its pieces between such places. A piece that
-    ends in white space doesn't part there; a text with one is encoded as a whole. It also parts a run of
+    and a space after it, so a text's ids are those of its pieces between such places. It also parts a run of
     letters from marks behind it, so the library's model takes the letters of such a piece alone.
+    A piece that ends in white space doesn't part there; a text with one is encoded as a whole.
 
     With ``literal``, a special token's wording in a text is ordinary letters; without, it gets the
     token's id, the library's default. A text with an added token's wording is encoded as a whole.
@@ -60,9 +63,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = literal
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (literal and t.special)]
+        self.top = max(self.tokenizer.get_vocab().values(), default=0)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        #: Known units by number, and by number where a unit's ids are in ``flat`` and how many. A unit is a run of letters, or
+        #: any other piece, with a space before it, or, after a space as their sign, marks without one. Number 0 is no unit.
+        self.known = pa.array([""], pa.string())
+        self.flat, self.start, self.size = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     @classmethod
     def shared(cls, path: str, literal: bool = True) -> Encoder:
@@ -73,61 +80,114 @@ class Encoder:
             encoders[path, literal] = cls(path, literal)
         return encoders[path, literal]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, text: str, space: bool) -> bytes:
-        """Ids of one pre-token of letters or marks, with a space before it or none."""
+    def _word(self, text: str, space: bool) -> list[int]:
+        """Ids of one run of letters or marks, with a space before it or none."""
         raw = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
-        return array("I", [t.id for t in self.model.tokenize(self.letters[0x20] + raw if space else raw)]).tobytes()
-
-    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Ids of new pieces, each with a space before it."""
-        new: dict[str, bytes] = {}
-        odd = []
-        for w in pieces:
-            core = w.rstrip(MARKS)
-            if core.isalpha():
-                ids = new.get(core) or self.known.get(core)
-                if ids is None:
-                    new[core] = ids = self._word(core, True)
-                if len(core) < len(w):
-                    new[w] = ids + self._mark(w[len(core) :])
-            elif w and not w[-1].isspace():
-                odd.append(w)
-        new.update(zip(odd, self._ids([" " + w for w in odd])))
-        for w in new:
-            if len(self.known) >= KNOWN_PIECES:
-                break
-            self.known[w] = new[w]
-        return new
-
-    def _mark(self, marks: str) -> bytes:
-        # Marks without a space before them, kept under a key that no piece can have.
-        key = "\n" + marks
-        if (ids := self.known.get(key)) is None:
-            ids = self._word(marks, False)
-            if len(marks) < 8:
-                self.known[key] = ids
-        return ids
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.known
-        parts = [(t or "").split(" ") for t in texts]
-        new = self._learn(set().union(*(islice(p, 1, None) for p in parts)).difference(known))
-        heads = self._ids([p[0] for p in parts])
-        out: list[bytes | None] = []
-        for t, p, head in zip(texts, parts, heads):
-            got = list(map(known.get, islice(p, 1, None)))
-            if None in got:
-                got = [new.get(w) if x is None else x for w, x in zip(islice(p, 1, None), got)]
-            whole = None in got or (len(p) > 1 and (not p[0] or p[0][-1].isspace())) or any(a in (t or "") for a in self.added)
-            out.append(None if whole else head + b"".join(got))
-        odd = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(odd, self._ids([texts[i] for i in odd])):
-            out[i] = ids
-        return out
+        return [t.id for t in self.model.tokenize(self.letters[0x20] + raw if space else raw)]
+
+    def _learn(self, units: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new units one after the other, and how many each has; ``plain`` says which are runs of letters."""
+        ids: list[int] = []
+        sizes = np.zeros(len(units), np.int64)
+        odd = [" " + units[i] for i in np.flatnonzero(~plain) if units[i][0] != " "]
+        library = iter(self._ids(odd))
+        for i, w in enumerate(units):
+            got = self._word(w, True) if plain[i] else self._word(w[1:], False) if w[0] == " " else next(library).tolist()
+            sizes[i] = len(got)
+            ids += got
+        return np.array(ids, np.uint32), sizes
+
+    def _remember(self, units: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = min(len(units), KNOWN_PIECES - len(self.known))
+        if n > 0:
+            self.known = pa.concat_arrays([self.known, units.slice(0, n)])
+            self.start = np.append(self.start, len(self.flat) + np.cumsum(sizes[:n]) - sizes[:n])
+            self.size = np.append(self.size, sizes[:n])
+            self.flat = np.append(self.flat, ids[: int(sizes[:n].sum())])
+
+    def _units(self, pieces: pa.Array, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the wanted pieces one after the other, and how many each of all pieces has."""
+        core = pc.utf8_rtrim(pieces, MARKS)
+        plain = pc.utf8_is_alpha(core).to_numpy(zero_copy_only=False)
+        marked = plain & pc.not_equal(core, pieces).to_numpy(zero_copy_only=False)
+        units = pc.if_else(pa.array(plain), core, pieces).filter(pa.array(wanted))
+        some = pa.array(marked & wanted)
+        tails = [" " + w[len(c) :] for w, c in zip(pieces.filter(some).to_pylist(), core.filter(some).to_pylist())]
+        both = pa.concat_arrays([units, pa.array(tails, units.type)]).dictionary_encode()
+        names = both.dictionary
+        letters = np.zeros(len(names), bool)
+        letters[both.indices.to_numpy()[: len(units)]] = plain[wanted]
+        number = pc.fill_null(pc.index_in(names, value_set=self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(number < 0)
+        words = names.take(pa.array(new))
+        ids, sizes = self._learn(words.to_pylist(), letters[new])
+        number[new] = len(self.known) + np.arange(len(new))
+        starts = np.concatenate((self.start, len(self.flat) + np.cumsum(sizes) - sizes))
+        size = np.concatenate((self.size, sizes))
+        flat = np.concatenate((self.flat, ids))
+        # Two places for each wanted piece: its letters or all of it, and the marks behind.
+        places = np.zeros((len(units), 2), np.int64)
+        places[:, 0] = number[both.indices.to_numpy()[: len(units)]]
+        places[marked[wanted], 1] = number[both.indices.to_numpy()[len(units) :]]
+        out, lengths = _gather(flat, starts, size, places.ravel())
+        each = np.zeros(len(pieces), np.int64)
+        each[wanted] = lengths.reshape(-1, 2).sum(axis=1)
+        if len(words) and pc.max(pc.binary_length(words)).as_py() <= LONG_PIECE:
+            self._remember(words, ids, sizes)
+        return out, each
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each text has; a null text has none."""
+        texts = pc.fill_null(texts, "")
+        n = len(texts)
+        if not n:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        parts = pc.split_pattern(texts, " ")
+        first = parts.offsets.to_numpy().astype(np.int64)
+        count, first = np.diff(first), first[:-1] - first[0]
+        flat = parts.flatten()
+        coded = flat.dictionary_encode()
+        code, pieces = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        # A piece is tied to what follows it if it is empty or ends in white space.
+        tied = (pc.equal(pc.utf8_rtrim_whitespace(pieces), pieces).to_numpy(zero_copy_only=False) ^ True) | (pc.binary_length(pieces).to_numpy() == 0)
+        inner = np.ones(len(code), bool)
+        inner[first] = False
+        whole = np.logical_or.reduceat(tied[code] & (inner | np.repeat(count > 1, count)), first)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        used = inner & ~np.repeat(whole, count)
+        wanted = np.zeros(len(pieces), bool)
+        wanted[code[used]] = True
+        ids, sizes = self._units(pieces, wanted)
+        # The first piece of a text has no space before it; it or the whole text is encoded by itself.
+        alone = pc.if_else(pa.array(whole), texts, flat.take(pa.array(first)))
+        own = self._ids(alone.to_pylist())
+        own_sizes = np.array([len(x) for x in own], np.int64)
+        starts = np.concatenate((np.cumsum(sizes) - sizes, len(ids) + np.cumsum(own_sizes) - own_sizes))
+        code[~used] = -1
+        code[first] = len(pieces) + np.arange(n)
+        out, lengths = _gather(np.concatenate((ids, *own)), np.append(starts, 0), np.concatenate((sizes, own_sizes, [0])), code)
+        return out, np.add.reduceat(lengths, first)
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` that ``which`` names, one after the other, and their sizes."""
+    size = sizes[which]
+    ends = np.cumsum(size)
+    return flat[np.repeat(starts[which] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
+
+
+def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """From where to where to encode at a time: as many texts as SPAN_BYTES hold, one at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    a = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SPAN_BYTES, "right")))
+        yield a, b
+        a = b
 
 
 @dataclass
@@ -146,13 +206,14 @@ class WaveletMatrix:
         zeros = np.zeros(depth, np.int64)
         ranks = np.zeros((depth, n // 512 + 1), np.uint32)
         for k in range(depth):
-            bits = (ids >> (depth - 1 - k)) & 1 != 0
+            bits = (ids & ids.dtype.type(1 << (depth - 1 - k))).astype(bool)
             planes[k] = np.packbits(bits)
-            ones = np.add.reduceat(bits, np.arange(0, n, 512), dtype=np.uint32) if n else np.zeros(0, np.uint32)
-            ranks[k, 1:] = np.cumsum(ones)[: n // 512]
-            low = ids[~bits]
+            ones = np.bitwise_count(planes[k, : n // 512 * 64].view(np.uint64)).reshape(-1, 8).sum(axis=1)
+            ranks[k, 1:] = np.cumsum(ones)
+            # Places picked by number go several times faster than by a mask.
+            low = ids.take(np.flatnonzero(~bits))
             zeros[k] = len(low)
-            ids = np.concatenate((low, ids[bits]))
+            ids = np.concatenate((low, ids.take(np.flatnonzero(bits))))
         return cls(n, planes, zeros, ranks)
 
     def rank(self, k: int, i: int) -> int:
@@ -211,8 +272,8 @@ class WaveletMatrix:
         for k in range(depth - 1, -1, -1):
             bits = np.unpackbits(self.planes[k], count=self.n).view(bool)
             up = np.empty_like(ids)
-            up[~bits] = ids[: self.zeros[k]]
-            up[bits] = ids[self.zeros[k] :] | ids.dtype.type(1 << (depth - 1 - k))
+            up[np.flatnonzero(~bits)] = ids[: self.zeros[k]]
+            up[np.flatnonzero(bits)] = ids[self.zeros[k] :] | ids.dtype.type(1 << (depth - 1 - k))
             ids = up
         return ids
 
@@ -237,31 +298,41 @@ def _writer(path: str, end: int, depth: int, block_tokens: int, literal: bool):
 
         part, seq = TaskContext.get().partitionId(), 0
         encoder = Encoder.shared(path, literal)
+        if max(encoder.top, end) >> depth:
+            raise ValueError(f"ids up to {max(encoder.top, end)} need more than {depth} bits")
         ids: list[pa.Array] = []
-        lengths: list[int] = []
+        lengths: list[np.ndarray] = []
         tokens: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal ids, lengths, tokens, held, seq
             block = WaveletMatrix.build(np.concatenate(tokens), depth).tobytes()
-            row = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([held], pa.int64()), pa.array([lengths], pa.list_(pa.int64())), pa.array([block], pa.binary())]
-            keys = pa.concat_arrays(ids)
-            row.insert(3, pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys))
+            keys, n = pa.concat_arrays(ids), np.concatenate(lengths)
+            of = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            row = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([held], pa.int64()), of(keys), of(pa.array(n, pa.int64())), pa.array([block], pa.binary())]
             ids, lengths, tokens, held, seq = [], [], [], 0, seq + 1
             return pa.RecordBatch.from_arrays(row, ["part", "seq", "n_tokens", "ids", "lengths", "block"])
 
         kind = np.uint16 if depth <= 16 else np.uint32
         for batch in batches:
-            for a in range(0, batch.num_rows, SPAN):
-                piece = batch.slice(a, SPAN)
-                got = encoder.encode(piece.column(1).to_pylist())
-                for i, raw in enumerate(got):
-                    t = np.append(np.frombuffer(raw, "<u4"), end).astype(kind)
-                    ids.append(piece.column(0).slice(i, 1))
-                    lengths.append(len(t))
-                    tokens.append(t)
-                    held += len(t)
+            for a, b in spans(batch.column(1)):
+                got, size = encoder.encode(batch.column(1).slice(a, b - a))
+                stops = np.cumsum(size + 1)
+                out = np.full(stops[-1], end, kind)
+                word = np.ones(stops[-1], bool)
+                word[stops - 1] = False
+                out[word] = got
+                at = 0
+                # Blocks end with the document that fills them.
+                while at < b - a:
+                    before = int(stops[at - 1]) if at else 0
+                    to = min(b - a, int(np.searchsorted(stops, before + block_tokens - held, "left")) + 1)
+                    ids.append(batch.column(0).slice(a + at, to - at))
+                    lengths.append(size[at:to] + 1)
+                    tokens.append(out[before : stops[to - 1]])
+                    held += int(stops[to - 1]) - before
+                    at = to
                     if held >= block_tokens:
                         yield flush()
         if lengths:
@@ -273,14 +344,19 @@ def _writer(path: str, end: int, depth: int, block_tokens: int, literal: bool):
 def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end: int = 0, depth: int = 16, partitions: int | None = None, block_tokens: int = BLOCK_TOKENS, literal: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of every whole text of ``docs``, and ``end`` after each, as wavelet blocks under ``path``.
 
-    Rows are in ascending order of the id, null first, then of the text; a null text is empty. ``depth``
-    is the number of bits of the largest id. A special token's wording gets its id unless ``literal``. Files are Parquet with one zstd-compressed record a block.
+    Rows are in ascending order of the id, null first, then of the text's hash; a null text is empty. ``depth``
+    is the number of bits of the largest id; a vocabulary that needs more is an error. A special token's wording
+    gets its id unless ``literal``. Files are Parquet with one zstd-compressed record a block. Without
+    ``partitions`` the text's bytes decide their number; rows that repeat an id are dealt over several too.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     mine = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = mine.repartitionByRange(n, "id").sortWithinPartitions("id", F.xxhash64("text"))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(mine.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PARTITION_BYTES))
+    # Equal rows are told apart by where they are read, so that they needn't meet in one partition.
+    order = ["id", "hash", "at"]
+    parted = mine.withColumn("hash", F.xxhash64("text")).withColumn("at", F.monotonically_increasing_id())
+    parted = parted.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
     kind = mine.schema["id"].dataType
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("lengths", T.ArrayType(T.LongType())), T.StructField("block", T.BinaryType())])
     parted.mapInArrow(_writer(tokenizer, end, depth, block_tokens, literal), schema).write.option("compression", "zstd").parquet(path)
@@ -312,6 +388,37 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return docs.join(blocks, ["part", "seq"]).select("id", (F.col("base") + F.col("within")).cast("long").alias("start"), "n_tokens", "ids_crc32")
 
 
+def _asker(ask):
+    """Runs ``ask`` on each block's matrix; it gives the places in the block and their ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                places, tokens = ask(WaveletMatrix.frombytes(batch.column(3)[i].as_py()), batch.column(2)[i].as_py())
+                m = len(places)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1).take(pa.array([0] * m, pa.int32())), batch.column(1).slice(i, 1).take(pa.array([0] * m, pa.int32())), pa.array(places, pa.int64()), pa.array(tokens, pa.int64())], ["part", "seq", "within", "token"])
+
+    return run
+
+
+def find_token(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """(part, seq, within, token): every place of an id in the written blocks, by select on the bit planes alone."""
+    files = spark.read.parquet(path).select("part", "seq", F.lit(0).cast("long").alias("at"), "block")
+    return files.mapInArrow(_asker(lambda w, _: ((p := w.locate(token)), [token] * len(p))), "part int, seq int, within long, token long")
+
+
+def count_token(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """(part, seq, n): how often an id occurs in each written block, by rank on the bit planes alone."""
+    files = spark.read.parquet(path).select("part", "seq", F.lit(0).cast("long").alias("at"), "block")
+    return files.mapInArrow(_asker(lambda w, _: ([w.count(token)], [token])), "part int, seq int, within long, token long").select("part", "seq", F.col("within").alias("n"))
+
+
+def tokens_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
+    """(part, seq, within, token) of the places (part, seq, within), read by rank without decoding a block."""
+    files = spark.read.parquet(path).select("part", "seq", "block").join(places, ["part", "seq"]).select("part", "seq", F.col("within").cast("long").alias("at"), "block")
+    return files.mapInArrow(_asker(lambda w, i: ([i], [w.access(i)]) if i is not None and 0 <= i < w.n else ([], [])), "part int, seq int, within long, token long")
+
+
 def encode_and_read(docs: DataFrame, **how) -> DataFrame:
     """``docs`` written to a new folder in the shared checkpoint folder, and read back."""
     spark = docs.sparkSession

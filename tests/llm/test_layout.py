@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,14 +80,42 @@ def test_wavelet_matrix():
     assert token_store.WaveletMatrix.frombytes(token_store.WaveletMatrix.build(ids[:0], 16).tobytes()).decode().size == 0
 
 
-def test_encoder_equals_library():
+ODD = ["", "a", " a", "a  b", "a \n b", "  lead", "trail  ", "x\n\ny  z\t w", "<|endoftext|> hi", None, "it's we'll don't 12 34,5 €uro", "x y", "é é a\r\n b", "a b", "a　 b", "hello world foo, bar. baz", "a \n, b, \n,", "x, y \n,z"]
+
+
+def _library(literal: bool, texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(token_store.byte_bpe())
-    t.encode_special_tokens = True
-    odd = ["", "a", " a", "a  b", "a \n b", "  lead", "trail  ", "x\n\ny  z\t w", "<|endoftext|> hi", None, "it's we'll don't 12 34,5 €uro", "x y", "é é a\r\n b", "a b", "a　 b", "hello world foo, bar. baz"]
-    got = token_store.Encoder(token_store.byte_bpe()).encode(odd)
-    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [t.encode(x or "", add_special_tokens=False).ids for x in odd]
+    t.encode_special_tokens = literal
+    return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
+def _encoded(encoder, texts):
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+
+def test_encoder_equals_library():
+    for literal in (True, False):
+        encoder, want = token_store.Encoder(token_store.byte_bpe(), literal), _library(literal, ODD)
+        assert _encoded(encoder, ODD) == want
+        # Again with pieces known, and each text by itself.
+        assert _encoded(encoder, ODD) == want and [_encoded(encoder, [x])[0] for x in ODD] == want
+        assert _encoded(encoder, []) == []
+
+
+def test_encoder_equals_library_on_chance_texts(monkeypatch):
+    r = random.Random(3)
+    letters = [*" \n\t,.a'é1-|", " ", " ", "\u2003", "\x1c", "\x85", "日", "<|endoftext|>", "word", "ſ", "ª", "̈", "😀", "'s", "Ⅷ", ".,"]
+    texts = ["".join(r.choices(letters, k=r.randrange(12))) for _ in range(4000)]
+    for literal in (True, False):
+        want = _library(literal, texts)
+        assert _encoded(token_store.Encoder(token_store.byte_bpe(), literal), texts) == want
+        monkeypatch.setattr(token_store, "KNOWN_PIECES", 5)
+        encoder = token_store.Encoder(token_store.byte_bpe(), literal)
+        assert _encoded(encoder, texts) == want and _encoded(encoder, texts) == want
+        monkeypatch.undo()
 
 
 def test_special_tokens_as_the_library(spark):
@@ -97,13 +126,30 @@ def test_special_tokens_as_the_library(spark):
     odd = ["a <|endoftext|> hi", "<|endoftext|>", "<|endoftext|> hi you", "x<|endoftext|>y z", "a  <|endoftext|>. b", "a |endoftext| <|endoftext", "a \n<|endoftext|>\n b", "plain words only", None]
     ids = [t.encode(x or "", add_special_tokens=False).ids for x in odd]
     assert 50256 in ids[0] and len(ids[0]) == 4
-    encoder = token_store.Encoder(token_store.byte_bpe(), literal=False)
-    assert [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(odd)] == ids
+    assert _encoded(token_store.Encoder(token_store.byte_bpe(), literal=False), odd) == ids
     df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.encode_and_read(df, tokenizer=token_store.byte_bpe()).collect()}
     assert got == {i: (len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for i, x in enumerate(ids)}
 
 
+def test_files_answer_without_decoding(spark, tmp_path):
+    """Access, count and locate in the written blocks, against plain lists; a vocabulary too large for the depth is an error."""
+    texts = [f"one two two three {i % 7} two" for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = str(tmp_path / "tokens")
+    token_store.write_tokens(df, path, tokenizer=token_store.byte_bpe(), partitions=3, block_tokens=40)
+    blocks = {(r["part"], r["seq"]): token_store.WaveletMatrix.frombytes(bytes(r["block"])).decode().tolist() for r in spark.read.parquet(path).collect()}
+    assert len(blocks) > 5 and sum((blocks[k] for k in sorted(blocks)), []) == sum(([*x, 0] for x in _library(False, texts)), [])
+    two = _library(False, [" two"])[0][0]
+    want = {(*k, i) for k, ids in blocks.items() for i, x in enumerate(ids) if x == two}
+    assert len(want) == 150 and {(r["part"], r["seq"], r["within"]) for r in token_store.find_token(spark, path, two).collect()} == want
+    assert {(r["part"], r["seq"]): r["n"] for r in token_store.count_token(spark, path, two).collect()} == {k: ids.count(two) for k, ids in blocks.items()}
+    places = spark.createDataFrame([(*k, i) for k in blocks for i in (0, 3, 10**6)], "part int, seq int, within long")
+    assert {(r["part"], r["seq"], r["within"]): r["token"] for r in token_store.tokens_at(spark, path, places).collect()} == {(*k, i): ids[i] for k, ids in blocks.items() for i in (0, 3)}
+    with pytest.raises(Exception, match="need more than 12 bits"):
+        token_store.write_tokens(df, str(tmp_path / "small"), tokenizer=token_store.byte_bpe(), depth=12)
+
+
 def test_token_files(spark, texts, none):
     from tokenizers import Tokenizer
 
