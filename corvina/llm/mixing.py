@@ -5,6 +5,9 @@ source. The fractional parts are settled by pivotal rounding: of two documents o
 word mass to the other until a copy number is whole, so the source's words stay as they
 are. Groups of about ``FAN_IN`` documents settle all but one each; the residuals meet again in
 the next level of a reduction tree, and the last one of a source goes to the nearer side.
+
+Rows that agree in all that counts are counted first. Of m of them, whole copies are given at once and one fraction
+goes on, so that a hot group of equal rows never meets in a task; very large groups go on in several parts.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from corvina.llm.common import DARK, cut
 FAN_IN = 48
 #: Sources whose targets are broadcast to the documents; beyond it they are joined by shuffle.
 BROADCAST_SOURCES = 50_000
+#: Equal rows that go on as one part.
+PART_ROWS = 10_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -48,14 +53,14 @@ def _chance(*key: Column) -> Column:
 
 def _settle(rows: DataFrame, level: int, seed: int) -> DataFrame:
     """(source, rest, done): one group of rows settled; ``rest`` is its last fractional row or null."""
-    row = "struct<h:bigint,p:double,size:bigint,base:int,id:string,payload:string>"
+    row = "struct<h:bigint,p:double,size:bigint,base:int,m:bigint,ups:bigint,id:string,payload:string>"
     got = f"struct<rest:{row},done:array<struct<row:{row},up:int>>>"
 
     def settled(r: Column, up: int) -> Column:
         return F.struct(r.alias("row"), F.lit(up).alias("up"))
 
     def left(r: Column, p: Column) -> Column:
-        return F.struct(r["h"].alias("h"), p.alias("p"), r["size"].alias("size"), r["base"].alias("base"), r["id"].alias("id"), r["payload"].alias("payload"))
+        return F.struct(r["h"].alias("h"), p.alias("p"), r["size"].alias("size"), r["base"].alias("base"), r["m"].alias("m"), r["ups"].alias("ups"), r["id"].alias("id"), r["payload"].alias("payload"))
 
     def out(rest: Column, done: Column) -> Column:
         return F.struct(rest.alias("rest"), done.alias("done")).cast(got)
@@ -74,73 +79,88 @@ def _settle(rows: DataFrame, level: int, seed: int) -> DataFrame:
         return F.when(c.isNull(), out(x, done)).when(rise, risen).otherwise(fallen)
 
     first = out(none, F.array().cast(f"array<struct<row:{row},up:int>>"))
-    groups = rows.groupBy("source", "bucket").agg(F.array_sort(F.collect_list(F.struct("h", "p", "size", "base", "id", "payload").cast(row))).alias("l"))
+    groups = rows.groupBy("source", "bucket").agg(F.array_sort(F.collect_list(F.struct("h", "p", "size", "base", "m", "ups", "id", "payload").cast(row))).alias("l"))
     return groups.select("source", F.aggregate("l", first, step).alias("a")).select("source", "a.rest", "a.done")
 
 
-def mix(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", payload: Column | None = None) -> DataFrame:
-    """One row per row of ``docs``: id, payload, source, size, source_size, target, copies.
-
-    Size is the number of words between ASCII white space; a null text has 0. copies is the
-    floor or ceiling of target / source_size, at most ``cap`` rounded up. Sizes times copies sum to each
-    source's target but for half of its largest document at most. Documents of size 0 get the
-    floor. Equal inputs give equal copies; repeated rows are rounded each for itself.
-    ``payload`` is any column to carry along.
-    """
+def _mixed(docs: DataFrame, weights: Sequence[float], share: float, cap: float, seed: int, id_col: str, source_col: str, text_col: str, payload: Column | None) -> tuple[DataFrame, DataFrame]:
+    """(rows, targets): rows has id, payload, source, size, and of m equal rows how many get base + 1 copies (ups), the others base."""
     text = F.col(text_col)
     carried = F.lit(None).cast("string") if payload is None else payload
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), carried.alias("payload"), F.coalesce(F.regexp_count(text, F.lit(DARK)), F.lit(0)).cast("long").alias("size"))
     kinds = dict(rows.dtypes)
-    rows = cut(rows)
-    targets = cut(source_targets(rows.groupBy("source").agg(F.sum("size").alias("size")), weights, share, cap))
+    rows = cut(rows.groupBy("id", "source", "payload", "size").agg(F.count("*").alias("m")))
+    targets = cut(source_targets(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("size")), weights, share, cap))
     n_sources = targets.count()
     near = F.broadcast(targets) if n_sources <= BROADCAST_SOURCES else targets
     near = near.withColumnRenamed("source", "source_")
     rows = rows.join(near, F.col("source").eqNullSafe(F.col("source_")), "left").drop("source_")
     x = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = rows.withColumn("base", F.floor(x).cast("int")).withColumn("p", x - F.floor(x))
+    rows = rows.withColumn("base", F.floor(x).cast("int")).withColumn("p", x - F.floor(x)).withColumn("parts", F.ceil(F.col("m") / PART_ROWS))
+    # Parts are as large as each other but for one row.
+    part = F.when(F.col("m") <= PART_ROWS, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    rows = rows.withColumn("part", F.explode(part)).withColumn("m", F.floor(F.col("m") / F.col("parts")) + (F.col("part") < F.col("m") % F.col("parts")).cast("long"))
+    mass = F.col("m") * F.col("p")
+    rows = rows.withColumn("ups", F.floor(mass)).withColumn("p", mass - F.floor(mass))
     open_ = (F.col("p") > 0) & (F.col("size") > 0)
-    whole = rows.where(~open_).select("id", "payload", "source", "size", F.col("base").alias("copies"))
-    h = F.xxhash64(F.col("id").cast("string"), "size", "payload", F.lit(seed))
-    rest = rows.where(open_).select("source", h.alias("h"), "p", "size", "base", F.col("id").cast("string").alias("id"), F.col("payload").cast("string").alias("payload"))
+    # Documents without words get the floor.
+    whole = rows.where(~open_).select("id", "payload", "source", "size", "base", "m", F.when(F.col("size") > 0, F.col("ups")).otherwise(0).cast("long").alias("ups"))
+    h = F.xxhash64(F.col("id").cast("string"), "size", "payload", F.lit(seed), "part")
+    rest = rows.where(open_).select("source", h.alias("h"), "p", "size", "base", "m", "ups", F.col("id").cast("string").alias("id"), F.col("payload").cast("string").alias("payload"))
     done, level, n = [], 0, rest.groupBy("source").count()
     largest = n.agg(F.max("count")).first()[0] or 0
     while largest > 0:
         last = largest <= FAN_IN
-        buckets = 1 if last else -(-largest // FAN_IN)
         # A source's own number of rows decides its buckets, so no source makes long or very many groups.
         share_of = n.select(F.col("source").alias("s_"), F.greatest(F.ceil(F.col("count") / FAN_IN), F.lit(1)).alias("buckets"))
         share_of = F.broadcast(share_of) if n_sources <= BROADCAST_SOURCES else share_of
         keyed = rest.join(share_of, F.col("source").eqNullSafe(F.col("s_"))).withColumn("bucket", F.lit(0) if last else F.pmod(F.xxhash64("h", F.lit(level)), F.col("buckets")))
         got = cut(_settle(keyed, level, seed))
-        done.append(got.select("source", F.explode("done").alias("d")).select("d.row.id", "d.row.payload", "source", "d.row.size", (F.col("d.row.base") + F.col("d.up")).alias("copies")))
+        done.append(got.select("source", F.explode("done").alias("d")).select("d.row.id", "d.row.payload", "source", "d.row.size", "d.row.base", "d.row.m", (F.col("d.row.ups") + F.col("d.up")).alias("ups")))
         rest = got.where("rest is not null").select("source", "rest.*")
         if last:
-            done.append(rest.select("id", "payload", "source", "size", (F.col("base") + (F.col("p") >= 0.5).cast("int")).alias("copies")))
+            done.append(rest.select("id", "payload", "source", "size", "base", "m", (F.col("ups") + (F.col("p") >= 0.5).cast("long")).alias("ups")))
             break
         n = rest.groupBy("source").count()
         largest, level = n.agg(F.max("count")).first()[0] or 0, level + 1
     out = whole
     for d in done:
-        out = out.unionByName(d.select(F.col("id").cast(kinds["id"]), F.col("payload").cast(kinds["payload"]), "source", "size", "copies"))
-    return out.join(near, F.col("source").eqNullSafe(F.col("source_")), "left").select("id", "payload", "source", "size", "source_size", "target", "copies")
+        out = out.unionByName(d.select(F.col("id").cast(kinds["id"]), F.col("payload").cast(kinds["payload"]), "source", "size", "base", "m", "ups"))
+    return out, near
 
 
-def repeat(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it, 0 times included; columns as they are."""
+def mix(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", payload: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: id, payload, source, size, source_size, target, copies.
+
+    Size is the number of words between ASCII white space; a null text has 0. copies is the
+    floor or ceiling of target / source_size, at most ``cap`` rounded up. Sizes times copies sum to each
+    source's target but for half of its largest document at most. Documents of size 0 get the
+    floor. Equal inputs give equal copies, however they are stored; rows that repeat id, source, size and
+    payload share theirs. ``payload`` is any column to carry along.
+    """
+    rows, near = _mixed(docs, weights, share, cap, seed, id_col, source_col, text_col, payload)
+    up = lambda i: (F.col("base") + (i <= F.col("ups")).cast("int")).alias("copies")
+    one = rows.where("m = 1").select("id", "payload", "source", "size", up(F.lit(1)))
+    many = rows.where("m > 1").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m")))).select("id", "payload", "source", "size", up(F.col("i")))
+    return one.unionByName(many).join(near, F.col("source").eqNullSafe(F.col("source_")), "left").select("id", "payload", "source", "size", "source_size", "target", "copies")
+
+
+def repeat(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, 0 times included; columns as they are.
+
+    Of rows alike in every column only the number of their copies matters, so one of them is repeated for all.
+    """
     names = [f"c{i}" for i in range(len(docs.columns))]
     inner = docs.toDF(*names)
     at = {c: n for c, n in zip(docs.columns, names)}
-    copies = mix(inner, id_col=at[id_col], source_col=at[source_col], text_col=at[text_col], payload=F.xxhash64(*names), **how)
-    # Rows alike in every column share their copies evenly: only their number matters.
-    copies = copies.groupBy("id", "payload").agg(F.sum("copies").alias("n"), F.count("*").alias("rows")).select(F.col("id").alias("__id"), F.col("payload").alias("__p"), "n", "rows")
-    inner = inner.withColumn("__h", F.xxhash64(*names))
-    joined = inner.join(copies.where("n > 0"), inner[at[id_col]].eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__p")))
-    alike = Window.partitionBy("__id", "__h").orderBy(F.lit(1))
+    rows, _ = _mixed(inner, weights, share, cap, seed, at[id_col], at[source_col], at[text_col], F.xxhash64(*names))
+    copies = rows.groupBy(F.col("id").alias("__id"), F.col("payload").alias("__p")).agg(F.sum(F.col("m") * F.col("base") + F.col("ups")).alias("n"), F.sum("m").alias("rows"))
+    joined = inner.withColumn("__h", F.xxhash64(*names)).join(copies.where("n > 0"), F.col(at[id_col]).eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__p")))
     one = joined.where("rows = 1")
-    many = joined.where("rows > 1").withColumn("r", F.row_number().over(alike)).withColumn("n", F.floor(F.col("n") / F.col("rows")) + (F.col("r") <= F.col("n") % F.col("rows")).cast("int")).drop("r")
-    both = one.unionByName(many).where("n > 0")
-    return both.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long")))).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PART_ROWS)))
+    many = joined.where("rows > 1").dropDuplicates(["__id", "__h"]).withColumn("__part", parts).repartition(F.col("__h"), F.col("__part"))
+    many = many.withColumn("n", F.least(F.col("n") - F.col("__part") * PART_ROWS, F.lit(PART_ROWS))).drop("__part")
+    return one.unionByName(many).withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long")))).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

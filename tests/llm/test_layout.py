@@ -70,6 +70,43 @@ def test_mix_edges(spark, docs, none):
     assert mixing.repeat(docs).count() == sum(r["copies"] for r in mixing.mix(docs, payload=F.xxhash64(*docs.columns)).collect())
 
 
+def test_mix_of_many_equal_rows(spark, monkeypatch):
+    """A source of 10,000 equal rows and some others: targets are met, no row exceeds its cap, equal rows in any layout give the same counts."""
+    monkeypatch.setattr(mixing, "PART_ROWS", 700)
+    rows = [(None, "a b c", "hot")] * 10_000 + [(i, "w " * (1 + i % 9), "cold") for i in range(500)] + [(7, "same text", None)] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    counts = []
+    for n in (3, 5):
+        got = mixing.mix(df.repartition(n)).groupBy("source", "id", "size", "target", "source_size", "copies").count().collect()
+        assert sum(r["count"] for r in got) == len(rows)
+        for source in ("hot", "cold", None):
+            mine = [r for r in got if r["source"] == source]
+            assert abs(sum(r["size"] * r["copies"] * r["count"] for r in mine) - mine[0]["target"]) <= max(r["size"] for r in mine) / 2 + 1e-6
+            x = mine[0]["target"] / mine[0]["source_size"]
+            assert all(int(x) <= r["copies"] <= -int(-x // 1) for r in mine)
+        counts.append(sorted(map(str, got)))
+        again = mixing.repeat(df.repartition(n)).groupBy("doc_id", "source").count().collect()
+        assert {(r["doc_id"], r["source"]): r["count"] for r in again if r["doc_id"] is None or r["source"] is None} == {k: v for k in ((None, "hot"), (7, None)) if (v := sum(r["copies"] * r["count"] for r in got if (r["id"], r["source"]) == k))}
+    assert counts[0] == counts[1]
+
+
+def test_mix_against_plain_sums(spark, db):
+    """Size, the source's size and its target by DuckDB and a plain levelling of targets."""
+    sizes = dict(db.sql(r"SELECT source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))) FROM documents GROUP BY source").fetchall())
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    left, target, open_ = 1.5 * sum(sizes.values()), {}, set(names)
+    while over := [s for s in open_ if left * weight[s] / sum(weight[x] for x in open_) > 2 * sizes[s]]:
+        target |= {s: 2.0 * sizes[s] for s in over}
+        open_ -= set(over)
+        left = 1.5 * sum(sizes.values()) - sum(target.values())
+    target |= {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = mixing.op5_mixing(spark, SF).join(docs.select("doc_id", "source"), "doc_id").collect()
+    assert {(r["source"], r["source_size"]) for r in got} == set(sizes.items())
+    assert all(abs(r["target"] - target[r["source"]]) < 1e-6 * r["target"] for r in got)
+
+
 def test_wavelet_matrix():
     ids = np.random.default_rng(1).integers(0, 50257, 3000).astype(np.uint16)
     ids[::7] = 5
