@@ -45,6 +45,19 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def give_back() -> None:
+    """At a Python task's end: free memory goes back to the machine, since a reused worker would keep it."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library has no such call
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and everything else as it is; null becomes empty."""
     text = F.coalesce(text, F.lit(""))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvina.llm.common import connected_components, cut, shielded
+from corvina.llm.common import connected_components, cut, give_back, shielded
 
 #: Retained values of a text, and how many of them two texts at the threshold share but for chances below 1e-13.
 K, NEED = 64, 24
@@ -112,6 +112,7 @@ def _sketcher(length: int, k: int):
             kinds = (pa.int64(), pa.binary(), pa.int32(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2)
             names = ["id", "rid", "key", "n", "s1", "s2", "s3", "s4", "odd", "sketch"]
             yield pa.RecordBatch.from_arrays([ids, *([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds])], names)
+        give_back()
 
     return run
 
@@ -135,6 +136,7 @@ def _verifier(length: int, percent: int):
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        give_back()
 
     return run
 

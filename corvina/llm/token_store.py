@@ -22,16 +22,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvina.llm.common import checkpoint_dir
+from corvina.llm.common import checkpoint_dir, give_back
 
 #: Tokens gathered for a block before it is written; a document is never parted.
 BLOCK_TOKENS = 2_000_000
 #: Bytes of text in a partition of the files, as far as the session's number of partitions isn't larger.
 PARTITION_BYTES = 256 << 20
 #: Word pieces whose ids a worker remembers; once it has so many it learns no more, and the frequent ones come early.
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 400_000
 #: Bytes of text encoded at a time, a longer document by itself.
-SPAN_BYTES = 8_000_000
+SPAN_BYTES = 6_000_000
 #: A span with a new piece of more bytes isn't remembered.
 LONG_PIECE = 400
 #: Marks that are no part of a word and never begin a contraction.
@@ -150,7 +150,7 @@ class Encoder:
         count, first = np.diff(first), first[:-1] - first[0]
         flat = parts.flatten()
         coded = flat.dictionary_encode()
-        code, pieces = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        code, pieces = coded.indices.to_numpy().copy(), coded.dictionary
         # A piece is tied to what follows it if it is empty or ends in white space.
         tied = (pc.equal(pc.utf8_rtrim_whitespace(pieces), pieces).to_numpy(zero_copy_only=False) ^ True) | (pc.binary_length(pieces).to_numpy() == 0)
         inner = np.ones(len(code), bool)
@@ -177,7 +177,11 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.n
     """The stretches of ``flat`` that ``which`` names, one after the other, and their sizes."""
     size = sizes[which]
     ends = np.cumsum(size)
-    return flat[np.repeat(starts[which] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at += np.repeat((starts[which] - (ends - size)).astype(kind), size)
+    return flat[at], size
 
 
 def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -337,6 +341,7 @@ def _writer(path: str, end: int, depth: int, block_tokens: int, literal: bool):
                         yield flush()
         if lengths:
             yield flush()
+        give_back()
 
     return run
 
@@ -372,6 +377,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             crc = [zlib.crc32(tokens[b - n : b].astype("<u4").tobytes()) for b, n in zip(stops, lengths)]
             m = len(lengths)
             yield pa.RecordBatch.from_arrays([pa.array([part.as_py()] * m, pa.int32()), pa.array([seq.as_py()] * m, pa.int32()), ids, pa.array(stops - lengths, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())], ["part", "seq", "id", "within", "n_tokens", "ids_crc32"])
+    give_back()
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
