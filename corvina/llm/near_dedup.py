@@ -183,7 +183,7 @@ def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int =
     heads = long_.groupBy("v").agg(*[F.min_by(c, "node").alias(c + "_") for c in facts_of])
     starred = long_.join(heads, "v").where((F.col("node") != F.col("node_")) & alike).select(*pair)
     links = check(close.unionByName(starred))
-    labels = connected_components(links)
+    labels = connected_components(links, arrow=True)
     if long_.isEmpty():
         return rows, labels
     grouped = lambda labels: long_.join(labels, "node", "left").withColumn("g", F.coalesce("root", "node")).drop("root")
@@ -196,11 +196,11 @@ def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int =
     each = mixed.select(*facts_of, "g").dropDuplicates(["node"])
     met = one.join(heads, "node_").join(each, "node").where((F.col("g") != F.col("g_")) & alike).select(*pair)
     links = cut(links.unionByName(check(met)))
-    labels = connected_components(links)
+    labels = connected_components(links, arrow=True)
     # What is in different groups still is compared in cells, each pair in its first common list.
     known = mixed_of(grouped(labels)).join(prefixes.select("node", "pre"), "node").select("v", *facts_of, "g", "pre")
     rest = _cells(cut(known), alike).select(*pair)
-    return rows, connected_components(links.unionByName(check(rest)))
+    return rows, connected_components(links.unionByName(check(rest)), arrow=True)
 
 
 def _odd_bits() -> Column:
@@ -236,13 +236,16 @@ def _alike(longs: int, most: int, percent: int) -> Column:
 
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, k: int, need: int, text_col: str) -> DataFrame:
     """(a, b): the pairs whose union sketch allows the similarity and whose full sets confirm it."""
-    sketches = nodes.select("node", "n", "sketch", "key")
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
+    # Only texts whose bucket has a pair are moved.
+    pairs = cut(pairs)
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(bucket("node").alias("bucket")).distinct()
+    sketches = nodes.select("node", "n", "sketch", "key").withColumn("bucket", bucket("node")).join(F.broadcast(asked), "bucket", "left_semi").drop("bucket")
     both = pairs.join(sketches.toDF("a", "na", "sa", "ka"), "a").join(sketches.toDF("b", "nb", "sb", "kb"), "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     seen = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     least = F.least(F.lit(need), F.ceil(F.size(union) * need / k))
     pairs = cut(both.where(seen >= least).select("a", "b", "ka", "kb"))
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
     wanted = pairs.select(F.explode(F.array("ka", "kb")).alias("key"))
     near = wanted.select(bucket("key").alias("bucket")).distinct()
     texts = docs.select(F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("key"), F.col(text_col).cast("string").alias("text"))
