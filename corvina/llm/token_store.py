@@ -25,13 +25,13 @@ from pyspark.sql import types as T
 from corvina.llm.common import checkpoint_dir, give_back
 
 #: Tokens gathered for a block before it is written; a document is never parted.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: Bytes of text in a partition of the files, as far as the session's number of partitions isn't larger.
 PARTITION_BYTES = 256 << 20
 #: Word pieces whose ids a worker remembers; once it has so many it learns no more, and the frequent ones come early.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 300_000
 #: Bytes of text encoded at a time, a longer document by itself.
-SPAN_BYTES = 6_000_000
+SPAN_BYTES = 2_000_000
 #: A span with a new piece of more bytes isn't remembered.
 LONG_PIECE = 400
 #: Marks that are no part of a word and never begin a contraction.
@@ -282,8 +282,7 @@ class WaveletMatrix:
         return ids
 
     def tobytes(self) -> bytes:
-        head = np.array([self.n, len(self.planes)], "<i8").tobytes()
-        return head + self.zeros.astype("<i8").tobytes() + self.ranks.astype("<u4").tobytes() + self.planes.tobytes()
+        return b"".join((np.array([self.n, len(self.planes)], "<i8"), self.zeros.astype("<i8"), self.ranks.astype("<u4"), self.planes))
 
     @classmethod
     def frombytes(cls, data: bytes) -> WaveletMatrix:
