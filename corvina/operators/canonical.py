@@ -6,7 +6,7 @@ import difflib
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvina.functions.text import norm_text, plain_latin
@@ -98,8 +98,15 @@ def canonicalize(df: DataFrame, col: str, vocab: Vocabulary, *, fuzzy: bool = Tr
 
 
 def first_of(df: DataFrame, key: Column, order: str, name: str = "is_first") -> DataFrame:
-    """``df`` with a flag for the first row of each key by the order column, in one pass over sorted keys."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(order)) == 1)
+    """``df`` with a flag for the first row of each key by the order column, nulls first; rows that tie for it are all marked.
+
+    A keyed minimum finds the places, so a frequent key is never sorted in one task.
+    """
+    place = F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("order"))
+    mine = df.withColumn("__k", key).withColumn("__o", place)
+    least = mine.groupBy(F.col("__k").alias("__key")).agg(F.min("__o").alias("__least"))
+    out = mine.join(least, F.col("__k").eqNullSafe(F.col("__key")))
+    return out.select(*[F.col(c) for c in df.columns], F.col("__o").eqNullSafe(F.col("__least")).alias(name))
 
 
 def override(df: DataFrame, key: str, value: str, table: DataFrame) -> DataFrame:
@@ -108,7 +115,7 @@ def override(df: DataFrame, key: str, value: str, table: DataFrame) -> DataFrame
     Keys that the table lacks keep their value.
     """
     t = table.toDF("__k", "__e")
-    out = df.join(F.broadcast(t), F.col(key) == F.col("__k"), "left")
+    out = df.join(t, F.col(key) == F.col("__k"), "left")
     differs = F.col("__e").isNotNull() & ~F.col(value).eqNullSafe(F.col("__e"))
     return out.withColumn("overridden", differs).withColumn(value, F.coalesce("__e", value)).drop("__k", "__e")
 

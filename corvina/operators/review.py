@@ -69,7 +69,7 @@ def apply_corrections(df: DataFrame, corrections: DataFrame, *, key: str, order:
     wanted = corrections.select(key, "field", F.col("corrected").alias("__x"), F.col("ord").alias("__c"), same(F.col("original")).alias("__o"))
     wanted = wanted.withColumn("__n", F.row_number().over(Window.partitionBy(key, "field", "__o").orderBy("__c")))
     # Only rows of corrected keys and values are ranked.
-    near = long.withColumn("__o", same(F.col("__v"))).join(F.broadcast(wanted.select(key, "field", "__o").distinct()), [key, "field", "__o"], "left_semi")
+    near = long.withColumn("__o", same(F.col("__v"))).join(wanted.select(key, "field", "__o").distinct(), [key, "field", "__o"], "left_semi")
     near = near.withColumn("__n", F.row_number().over(w))
     hit = near.join(wanted, [key, "field", "__o", "__n"]).select(F.col(order).alias("__ord"), "field", F.col("__x").alias("corrected"), "__c")
     wide = hit.groupBy("__ord").agg(*[F.max(F.when(F.col("field") == f, F.col("corrected"))).alias(f"__{f}") for f in fields], F.array_join(F.array_sort(F.collect_set("field")), ",").alias("__fields"))

@@ -101,14 +101,13 @@ def december_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("jaccard_pairs", """
-WITH s AS (SELECT DISTINCT o_custkey AS k, p_brand AS i FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_custkey <= 60),
+WITH s AS (SELECT DISTINCT p_brand AS k, o_custkey AS i FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
 n AS (SELECT k, count(*) AS n FROM s GROUP BY k), p AS (SELECT x.k AS a, y.k AS b, count(*) AS common FROM s x JOIN s y ON x.i = y.i AND x.k <= y.k GROUP BY ALL)
 SELECT a, b, common, round(common / (x.n + y.n - common), 6) AS jaccard FROM p JOIN n x ON x.k = a JOIN n y ON y.k = b""")
 def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similarity of customers 1 to 60 by the brands they ordered."""
-    orders = table(spark, sf_dir, "orders").where("o_custkey <= 60")
-    lines = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    return A.jaccard(lines, "o_custkey", "p_brand")
+    """Similarity of brands by the customers who ordered them, over all orders; brands are few, so an item has few pairs."""
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    return A.jaccard(lines, "p_brand", "o_custkey")
 
 
 @query("missing_rate_unpivot", "WITH d AS (SELECT d.text, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)) " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '') AS missing, round(count(*) FILTER ({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '') / count(*), 6) AS rate FROM d" for c in ("text", "lang", "quality", "toxic")))

@@ -38,7 +38,7 @@ SELECT c_custkey, r_name AS region, region <> r_name AS overridden FROM c""")
 def xval_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions corrected by the nation's own."""
     nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
-    c = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     c = c.select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 3 == 0, "WRONG").otherwise(F.col("r_name")).alias("region"))
     return canonical.override(c, "c_nationkey", "region", nation).select("c_custkey", "region", "overridden")
 
@@ -66,7 +66,7 @@ SELECT x.entity, coalesce(x.url, h.url) AS url, CASE WHEN x.url IS NULL THEN x.h
 def group_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations and missing members of their regions, with the region's value where they have none."""
     region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
-    n = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     s = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.min("s_name").alias("url"))
     e = n.join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left").select(F.col("n_name").alias("entity"), "url")
     e = e.unionByName(region.select(F.col("r_name").alias("entity"), F.concat(F.lit("url of "), "r_name").alias("url")))
@@ -119,15 +119,15 @@ def first_month_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("review_queue_union", """
-SELECT CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 3 END AS INTEGER) AS priority, 'c' || o_custkey AS owner, 'delivery' AS kind, 'não reconhecido' AS issue, o_orderpriority AS original_value, o_orderstatus AS current_value, CASE WHEN o_orderpriority = '1-URGENT' THEN 'low' ELSE 'high' END AS confidence FROM orders WHERE o_orderkey % 5 = 0
-UNION ALL SELECT 4, 's' || l_suppkey, 'risk', 'fuzzy', l_returnflag, l_linestatus, 'medium' FROM lineitem WHERE l_orderkey % 7 = 0
+SELECT CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 3 END AS INTEGER) AS priority, 'c' || o_custkey AS owner, 'delivery' AS kind, 'não reconhecido' AS issue, o_orderpriority AS original_value, o_orderstatus AS current_value, CASE WHEN o_orderpriority = '1-URGENT' THEN 'low' ELSE 'high' END AS confidence FROM orders
+UNION ALL SELECT 4, 's' || l_suppkey, 'risk', 'fuzzy', l_returnflag, l_linestatus, 'medium' FROM lineitem
 UNION ALL SELECT 1, 'u' || user_id, 'error', event_type, '', '', 'low' FROM events WHERE event_type = 'error'""")
 def review_queue_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One queue of doubtful orders, doubtful lines and errors."""
+    """One queue of all orders and lines as entries to review, and of the errors among the events."""
     lit = F.lit
     conf = F.when(F.col("o_orderpriority") == "1-URGENT", "low").otherwise("high")
-    a = table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select(review.delivery_priority(lit("não reconhecido"), conf).alias("priority"), F.concat(lit("c"), "o_custkey").alias("owner"), lit("delivery").alias("kind"), lit("não reconhecido").alias("issue"), F.col("o_orderpriority").alias("original_value"), F.col("o_orderstatus").alias("current_value"), conf.alias("confidence"))
-    b = table(spark, sf_dir, "lineitem").where("l_orderkey % 7 = 0").select(review.risk_priority(lit("fuzzy"), lit("medium")).alias("priority"), F.concat(lit("s"), "l_suppkey").alias("owner"), lit("risk").alias("kind"), lit("fuzzy").alias("issue"), F.col("l_returnflag").alias("original_value"), F.col("l_linestatus").alias("current_value"), lit("medium").alias("confidence"))
+    a = table(spark, sf_dir, "orders").select(review.delivery_priority(lit("não reconhecido"), conf).alias("priority"), F.concat(lit("c"), "o_custkey").alias("owner"), lit("delivery").alias("kind"), lit("não reconhecido").alias("issue"), F.col("o_orderpriority").alias("original_value"), F.col("o_orderstatus").alias("current_value"), conf.alias("confidence"))
+    b = table(spark, sf_dir, "lineitem").select(review.risk_priority(lit("fuzzy"), lit("medium")).alias("priority"), F.concat(lit("s"), "l_suppkey").alias("owner"), lit("risk").alias("kind"), lit("fuzzy").alias("issue"), F.col("l_returnflag").alias("original_value"), F.col("l_linestatus").alias("current_value"), lit("medium").alias("confidence"))
     c = table(spark, sf_dir, "events").where("event_type = 'error'").select(lit(1).alias("priority"), F.concat(lit("u"), "user_id").alias("owner"), lit("error").alias("kind"), F.col("event_type").alias("issue"), lit("").alias("original_value"), lit("").alias("current_value"), lit("low").alias("confidence"))
     return review.queue(a, b, c)
 

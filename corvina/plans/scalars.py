@@ -98,10 +98,10 @@ def norm_text_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(literals).select("id", F.md5(norm).alias("norm"), F.length(norm).cast("long").alias("chars"))
 
 
-@query("strip_accents_text", f"SELECT doc_id, md5(translate(text, '{LATIN}', '{PLAIN}')) AS plain FROM documents WHERE lang <> 'de'")
+@query("strip_accents_text", f"SELECT doc_id, md5(translate(text, '{LATIN}', '{PLAIN}')) AS plain FROM documents")
 def strip_accents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without accents, by the complete Unicode tables."""
-    docs = table(spark, sf_dir, "documents").where("lang <> 'de'")
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.md5(text.strip_accents(F.col("text"))).alias("plain"))
 
 
