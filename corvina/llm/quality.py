@@ -182,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, *, per_class: tuple[int, int] = SA
 
 
 def score(docs: DataFrame, model: Additive, *, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a double column ``name`` between 0 and 1 from the whole text; null counts as empty."""
+    """``docs`` with a double column ``name`` between 0 and 1 from the whole text; null counts as empty, another column of that name is replaced."""
+    docs = docs if name == text_col else docs.drop(name)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

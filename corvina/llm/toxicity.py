@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvina.llm.common import shielded
 from corvina.llm.labelled import fold, sample
 
 #: Training rows at most: of label 0, of label 1.
@@ -155,11 +156,16 @@ def learn(rows: Iterable[tuple[str | None, int]], *, most: int = 400, cover: int
 def train(docs: DataFrame, labels: DataFrame, *, per_class: tuple[int, int] = SAMPLE, folds: int = FOLDS, held_out: int = HELD_OUT, label: str = "toxic", **cols) -> Lexicon:
     """A lexicon from the labelled rows outside the held-out fold, at most ``per_class`` of each label."""
     rows = sample(docs, labels, label, folds=folds, held_out=held_out, per_class=per_class, **cols)
-    return learn((r["text"], r["y"]) for r in rows.toLocalIterator())
+    # In the same order however the rows are stored: sums of floats follow it.
+    return learn((r["text"], r["y"]) for r in rows.orderBy("y", F.xxhash64("text"), "text").toLocalIterator())
 
 
 def score(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a double column ``name`` between 0 and 1, from the whole text; null and empty texts get the lowest score."""
+    """``docs`` with a double column ``name`` between 0 and 1, from the whole text; null and empty texts get the lowest score.
+
+    Another column of that name is replaced.
+    """
+    docs = docs if name == text_col else docs.drop(name)
     kept = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     at = docs.columns.index(text_col)
 
@@ -176,7 +182,8 @@ def score(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", name: st
 def reject_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, text_col: str = "text", **how) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; columns as they are."""
     lexicon = train(docs, labels, text_col=text_col, **how)
-    return score(docs, lexicon, text_col=text_col, name="__toxicity").where(F.col("__toxicity") < threshold).drop("__toxicity")
+    inner, (text_,) = shielded(docs, text_col)
+    return score(inner, lexicon, text_col=text_, name="toxicity").where(F.col("toxicity") < threshold).drop("toxicity").toDF(*docs.columns)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
