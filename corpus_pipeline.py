@@ -46,7 +46,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing), ("token_output", token_output)]
 
-#: Learned scores, hashed rounding and token ids have no SQL; tests hold the stages against brute force.
+#: Learned scores, hashed rounding and token ids have no SQL; tests hold the operators against brute force, plain sums or the library.
 ORACLE_SQL = None
 
 
