@@ -14,6 +14,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,22 +84,22 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, text: str, space: bool) -> list[int]:
-        """Ids of one run of letters or marks, with a space before it or none."""
-        raw = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
-        return [t.id for t in self.model.tokenize(self.letters[0x20] + raw if space else raw)]
-
     def _learn(self, units: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of new units one after the other, and how many each has; ``plain`` says which are runs of letters."""
-        ids: list[int] = []
-        sizes = np.zeros(len(units), np.int64)
-        odd = [" " + units[i] for i in np.flatnonzero(~plain) if units[i][0] != " "]
-        library = iter(self._ids(odd))
-        for i, w in enumerate(units):
-            got = self._word(w, True) if plain[i] else self._word(w[1:], False) if w[0] == " " else next(library).tolist()
-            sizes[i] = len(got)
-            ids += got
-        return np.array(ids, np.uint32), sizes
+        """The ids of new units one after the other, and how many each has; ``plain`` says which are runs of letters.
+
+        A run of letters has a space before it, and so has a piece for the library; marks have only their sign.
+        """
+        tokenize, letter, space = self.model.tokenize, self.letters.__getitem__, self.letters[0x20]
+        library = iter(self._ids([" " + units[i] for i in np.flatnonzero(~plain) if units[i][0] != " "]))
+        got = []
+        for w, known in zip(units, plain.tolist()):
+            if not known and w[0] != " ":
+                got.append(next(library).tolist())
+            else:
+                head, w = (space, w) if known else ("", w[1:])
+                got.append([t.id for t in tokenize(head + (w if w.isascii() else "".join(map(letter, w.encode()))))])
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum())), sizes
 
     def _remember(self, units: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
         n = min(len(units), KNOWN_PIECES - len(self.known))
@@ -114,12 +115,12 @@ class Encoder:
         plain = pc.utf8_is_alpha(core).to_numpy(zero_copy_only=False)
         marked = plain & pc.not_equal(core, pieces).to_numpy(zero_copy_only=False)
         units = pc.if_else(pa.array(plain), core, pieces).filter(pa.array(wanted))
-        some = pa.array(marked & wanted)
-        tails = [" " + w[len(c) :] for w, c in zip(pieces.filter(some).to_pylist(), core.filter(some).to_pylist())]
+        some = marked & wanted
+        tails, tail = _tails(pieces.filter(pa.array(some)), core.filter(pa.array(some)))
         both = pa.concat_arrays([units, pa.array(tails, units.type)]).dictionary_encode()
-        names = both.dictionary
+        names, at = both.dictionary, both.indices.to_numpy()
         letters = np.zeros(len(names), bool)
-        letters[both.indices.to_numpy()[: len(units)]] = plain[wanted]
+        letters[at[: len(units)]] = plain[wanted]
         number = pc.fill_null(pc.index_in(names, value_set=self.known), -1).to_numpy().astype(np.int64)
         new = np.flatnonzero(number < 0)
         words = names.take(pa.array(new))
@@ -130,8 +131,8 @@ class Encoder:
         flat = np.concatenate((self.flat, ids))
         # Two places for each wanted piece: its letters or all of it, and the marks behind.
         places = np.zeros((len(units), 2), np.int64)
-        places[:, 0] = number[both.indices.to_numpy()[: len(units)]]
-        places[marked[wanted], 1] = number[both.indices.to_numpy()[len(units) :]]
+        places[:, 0] = number[at[: len(units)]]
+        places[marked[wanted], 1] = number[at[len(units) :]][tail]
         out, lengths = _gather(flat, starts, size, places.ravel())
         each = np.zeros(len(pieces), np.int64)
         each[wanted] = lengths.reshape(-1, 2).sum(axis=1)
@@ -173,6 +174,26 @@ class Encoder:
         return out, np.add.reduceat(lengths, first)
 
 
+def _tails(pieces: pa.Array, cores: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The distinct marks behind the cores, each after a space, and which of them each piece has."""
+    n = pc.subtract(pc.binary_length(pieces), pc.binary_length(cores)).to_numpy()
+    tails = [" " + m for m in MARKS]
+    if not len(pieces):
+        return tails, np.empty(0, np.int64)
+    # A mark is one byte, so the last byte says which it is.
+    table = np.zeros(256, np.int64)
+    table[list(MARKS.encode())] = np.arange(len(MARKS))
+    ends = np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, 4 * pieces.offset)[1:]
+    which = table[np.frombuffer(pieces.buffers()[2], np.uint8)[ends - 1]]
+    several = np.flatnonzero(n > 1)
+    if len(several):
+        longer = [" " + w[-k:] for w, k in zip(pieces.take(pa.array(several)).to_pylist(), n[several].tolist())]
+        place = {w: i for i, w in enumerate(dict.fromkeys(longer), len(tails))}
+        which[several] = [place[w] for w in longer]
+        tails += place
+    return tails, which
+
+
 def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The stretches of ``flat`` that ``which`` names, one after the other, and their sizes."""
     size = sizes[which]
