@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corvina.functions.dates import parse_date
 from corvina.functions import text as X
 from corvina.functions.text import header_key, is_fragment, is_literal, let, norm_text, plain_latin, squeeze
-from corvina.functions.vocabularies import Vocabulary
+from corvina.functions.vocabularies import PRODUCT_AXIS, Vocabulary
 from corvina.operators.canonical import match_values
 
 # The words by which the tables of such documents are told apart.
@@ -288,6 +288,35 @@ def audit(df: DataFrame, fields: dict[str, tuple[Vocabulary, tuple[Vocabulary, .
     return out.withColumn("fits", F.when(F.col("category") == "column_shift", F.col("fits")))
 
 
+#: How the audited fields are called in reasons for review.
+LABELS = {"probability": "probabilidade", "impact": "impacto", "treatment": "tratamento"}
+
+
+def flag_audited(df: DataFrame, fields: dict[str, tuple[Vocabulary, tuple[Vocabulary, ...]]], order: str) -> tuple[DataFrame, DataFrame]:
+    """(df under review where ``audit`` finds something, (category, n) of what it found).
+
+    A suspicious row gets needs_review, low confidence and, appended to its review_reason, a reason for each field in the order of
+    ``fields``. Other rows keep what they have: false, null and high where ``df`` lacks the columns.
+    """
+    found = audit(df, fields, order)
+    label = lambda c: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair]), c), c)
+    kind, start = F.col("category"), F.substring("value", 1, 30)
+    text = F.when(kind == "header_captured", F.concat(F.lit("header capturado ('"), start, F.lit("')"))).when(kind == "fragment", F.concat(F.lit("fragmento ('"), start, F.lit("')")))
+    text = text.when(kind == "column_bleed", F.concat(F.lit("bleed de coluna ("), F.length("value").cast("string"), F.lit(" chars)"))).otherwise(F.concat(F.lit("column-shift (casa em '"), label(F.col("fits")), F.lit("')")))
+    place = F.array_position(F.array(*map(F.lit, fields)), F.col("field"))
+    why = found.groupBy(F.col(order).alias("__row")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("i"), F.concat(label(F.col("field")), F.lit(": "), text).alias("r")))), lambda x: x["r"]), "; ").alias("__why"))
+    have = set(df.columns)
+    old = {"needs_review": F.lit(False), "review_reason": F.lit(None).cast("string"), "confidence": F.lit("high")}
+    out = df.withColumns({c: v for c, v in old.items() if c not in have}).join(why, F.col(order) == F.col("__row"), "left")
+    hit, before = F.col("__why").isNotNull(), F.trim(F.coalesce("review_reason", F.lit("")))
+    out = out.withColumns({
+        "needs_review": F.col("needs_review") | hit,
+        "review_reason": F.when(~hit, F.col("review_reason")).when(before == "", F.col("__why")).otherwise(F.concat(before, F.lit("; "), F.col("__why"))),
+        "confidence": F.when(hit, "low").otherwise(F.col("confidence")),
+    }).drop("__row", "__why")
+    return out, found.groupBy("category").agg(F.count("*").alias("n"))
+
+
 def action_list(lines: DataFrame, anchor: str) -> DataFrame:
     """(doc, number, action) of the numbered lines after the first line that matches the anchor, until a line without a number once more than 3 were found."""
     by = Window.partitionBy("doc").orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)
@@ -308,10 +337,11 @@ def resolve_refs(c: Column, actions: Column) -> Column:
 
 
 def text_deliveries(lines: DataFrame, products: Vocabulary, axes: Vocabulary) -> DataFrame:
-    """(doc, page, line, service, product, axis, due, score) of the lines that name a product at 0.85 or "other".
+    """(doc, page, line, service, original, product, axis, due, score, confidence, needs_review, review_reason) of the lines that name a product at 0.85 or "other".
 
-    The line before is the service unless it names a product or axis, is short, or a month; the next one may
-    name the axis; the first date within four lines is the due date.
+    The line before is the service unless it names a product or axis, is short, or a month. The axis is the
+    product's own, else what the next line names; the first date within four lines is the due date. Only a product at 0.95 that
+    isn't "other" needs no review.
     """
     by = Window.partitionBy("doc", "page").orderBy("line")
     x = lines.withColumn("text", F.trim("text")).where("text != ''")
@@ -324,7 +354,14 @@ def text_deliveries(lines: DataFrame, products: Vocabulary, axes: Vocabulary) ->
     x = x.withColumn("__service", F.lag(F.when(usable, F.substring("text", 1, 250))).over(by)).withColumn("__axis", F.lead(F.when(F.col("a_score") >= 0.80, F.col("axis"))).over(by)).withColumn("__date", date)
     x = x.withColumn("__due", F.first("__date", ignorenulls=True).over(by.rowsBetween(1, 4)))
     named = F.col("p_score") >= 0.85
-    return x.where(named | is_other(F.col("text"))).select("doc", "page", "line", F.coalesce("__service", F.lit("")).alias("service"), F.when(named, F.col("product")).otherwise("Outros").alias("product"), F.coalesce("__axis", F.lit("")).alias("axis"), F.when(F.col("__due").isNotNull(), parse_date(F.col("__due"))).alias("due"), F.round("p_score", 3).alias("score"))
+    other = is_other(F.col("text"))
+    product = F.when(named, F.col("product")).otherwise("Outros")
+    own = F.element_at(F.create_map(*[F.lit(v) for pair in PRODUCT_AXIS.items() for v in pair]), product)
+    return x.where(named | other).select(
+        "doc", "page", "line", F.coalesce("__service", F.lit("")).alias("service"), F.substring("text", 1, 250).alias("original"), product.alias("product"), F.coalesce(own, "__axis", F.lit("")).alias("axis"),
+        F.when(F.col("__due").isNotNull(), parse_date(F.col("__due"))).alias("due"), F.round("p_score", 3).alias("score"),
+        F.when(F.col("p_score") >= 0.95, "high").when(named, "medium").otherwise("low").alias("confidence"), ((F.col("p_score") < 0.95) | other).alias("needs_review"), F.when(other, "produto Outros").alias("review_reason"),
+    )
 
 
 def table_deliveries(grid: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvina.functions.vocabularies import IMPACT_SCALE, PROBABILITY_SCALE, TREATMENTS
+from corvina.functions.vocabularies import AXIS, IMPACT_SCALE, PROBABILITY_SCALE, PRODUCT, TREATMENTS
 from corvina.operators import tables as R
 from corvina.plans.catalog import query, table
 
@@ -104,6 +104,35 @@ def audit_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.audit(rows, fields, "ord").select("ord", "field", "category", "fits")
 
 
+_AUDITED = {"probability": (PROBABILITY_SCALE, (IMPACT_SCALE,)), "impact": (IMPACT_SCALE, (PROBABILITY_SCALE,)), "treatment": (TREATMENTS, (PROBABILITY_SCALE, IMPACT_SCALE))}
+
+
+@query("audit_flags", _sql([
+    (1, True, "probabilidade: header capturado ('Probabilidade')", "low"),
+    (2, True, "probabilidade: fragmento ('de de Ocor-'); impacto: column-shift (casa em 'probabilidade'); tratamento: bleed de coluna (40 chars)", "low"),
+    (3, True, "probabilidade: column-shift (casa em 'impacto'); tratamento: column-shift (casa em 'probabilidade')", "low"), (4, False, None, "high"),
+], "ord, needs_review, review_reason, confidence"))
+def audit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an audit makes of the sample risks: review, reasons, confidence."""
+    rows = spark.createDataFrame(_AUDIT, "ord int, probability string, impact string, treatment string")
+    return R.flag_audited(rows, _AUDITED, "ord")[0].select("ord", "needs_review", "review_reason", "confidence")
+
+
+_LINES = ["Portal de serviços do cidadão", "Integração ao Login Único", "Unificação de Canais Digitais", "jun/25", "abc", "Evolucao do Servico Dig", "dez-2025", "texto que nada diz a ninguém", "Outros", "x", "03/2026", "Balcão único de atendimento", "Adequação à LGPD"]
+
+
+@query("text_line_deliveries", _sql([
+    (1, "Portal de serviços do cidadão", "Integração ao Login Único", "Integração ao Login Único", "Unificação de Canais Digitais", "2025-06", 0.98, "high", False, None),
+    (5, "", "Evolucao do Servico Dig", "Evolução do Serviço", "Serviços Digitais e Melhoria da Qualidade", "2025-12", 0.905, "medium", True, None),
+    (8, "texto que nada diz a ninguém", "Outros", "Outros", "Projetos Especiais", "2026-03", 1.0, "high", True, "produto Outros"),
+    (12, "Balcão único de atendimento", "Adequação à LGPD", "Adequação à LGPD", "Governança e Gestão de Dados", None, 1.0, "high", False, None),
+], "line, service, original, product, axis, due, score, confidence, needs_review, review_reason"))
+def text_line_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries read from lines of text: services before, dates behind, axes by the catalogue."""
+    lines = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(_LINES)], "doc string, page int, line int, text string")
+    return R.text_deliveries(lines, PRODUCT, AXIS).drop("doc", "page")
+
+
 @query("window_counts", "SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per day and type: the rows that the streaming counterpart makes final."""

@@ -155,3 +155,48 @@ def test_streaming_refresh(spark, tmp_path):
     refresh.refresh(refresh.once_by_content(refresh.new_rows(spark, source, "t string"), "t"), target, mark)
     assert sorted(r["t"] for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
     assert refresh.unprocessed(spark.range(3), spark.range(2), "id").count() == 1
+
+
+def test_standardized_deliveries_append_to_what_rows_have(spark):
+    from corvina.operators.standardize import split_fragments, standardize_deliveries
+
+    rows = [(1, "Evolução do Serviço", "Projetos Especiais", False, None, "high", "x"), (2, "Algo totalmente fora do vocabulário", "Projetos Especiais", True, "antes", "high", "x"),
+            (3, "Evolução do Serviço", "Projetos Especiais", True, "antes", "medium", "x"), (4, "Evolução do Serviço", "Projetos Especiais", True, None, "medium", "x"), (5, "Outros", "", False, None, "high", " rência ")]
+    df = spark.createDataFrame(rows, "ord int, product string, axis string, needs_review boolean, review_reason string, confidence string, service string")
+    out = standardize_deliveries(df)
+    got = {r["ord"]: r for r in out.collect()}
+    assert got[1]["axis_value"] == "Serviços Digitais e Melhoria da Qualidade" and got[1]["needs_review"] and got[1]["review_reason"].startswith("eixo corrigido por cross-validation: 'Projetos")
+    assert got[2]["product_value"] == "UNMATCHED" and got[2]["confidence"] == "low" and got[2]["review_reason"].startswith("produto não reconhecido")
+    assert got[3]["review_reason"].startswith("antes; eixo corrigido: 'Projetos") and got[3]["confidence"] == "medium"
+    assert got[4]["review_reason"] is None and got[4]["needs_review"]
+    kept, dropped = split_fragments(out)
+    assert [r["ord"] for r in dropped.collect()] == [5] and kept.count() == 4
+    assert standardize_deliveries(df.limit(0)).count() == 0
+
+
+def test_standardized_risks_append_and_grade(spark):
+    from corvina.operators.standardize import match_stats, risk_mappings, standardize_risks
+
+    rows = [(1, "raro", "alto", "mitigar", False, None, "high"), (2, "xpto sem sentido", "alto", "Mitigar/Tra nsferir", False, "antes", "high"), (3, "raro", "alto", "aceitar", True, "antes", "medium"), (4, None, "alto", "transferir; transferir", False, None, "high")]
+    df = spark.createDataFrame(rows, "ord int, probability string, impact string, treatment string, needs_review boolean, review_reason string, confidence string")
+    got = {r["ord"]: r for r in standardize_risks(df).collect()}
+    assert not got[1]["needs_review"] and got[1]["confidence"] == "high" and got[1]["review_reason"] is None
+    assert got[2]["treatment_value"] == "mitigar; transferir" and got[2]["confidence"] == "low" and got[2]["probability_value"] == "xpto sem sentido"
+    assert got[2]["review_reason"].startswith("antes; probabilidade não reconhecida (score: ") and got[2]["review_reason"].endswith("tratamento múltiplo/composto ('mitigar; transferir')")
+    assert got[3]["confidence"] == "medium" and got[3]["review_reason"] == "antes"
+    assert got[4]["probability_method"] == "unmatched" and got[4]["probability_score"] == 0 and got[4]["needs_review"]
+    stats = {r["type"]: (r["exact"], r["fuzzy"], r["unmatched"]) for r in match_stats(risk_mappings(df)).collect()}
+    assert stats["impact"] == (4, 0, 0) and stats["probability"] == (2, 0, 2)
+
+
+def test_audit_counts_and_report(spark):
+    from corvina.operators.reports import render
+    from corvina.operators.tables import flag_audited
+    from corvina.plans.grids import _AUDIT, _AUDITED
+
+    rows = spark.createDataFrame(_AUDIT, "ord int, probability string, impact string, treatment string")
+    out, counts = flag_audited(rows.selectExpr("*", "false AS needs_review", "'antes' AS review_reason", "'high' AS confidence"), _AUDITED, "ord")
+    assert {r["category"]: r["n"] for r in counts.collect()} == {"header_captured": 1, "fragment": 1, "column_shift": 3, "column_bleed": 1}
+    reasons = {r["ord"]: r["review_reason"] for r in out.collect()}
+    assert reasons[1] == "antes; probabilidade: header capturado ('Probabilidade')" and reasons[4] == "antes"
+    assert render("Nota", [("Entregas", {"total": 4574, "média": 1234.56, "nada": None})]) == "# Nota\n\n## Entregas\n\n- total: 4.574\n- média: 1.234,6\n- nada: —\n"
