@@ -1,18 +1,13 @@
-"""Text normalisation as Column builders.
-
-Everything stays in the JVM but ``nfc`` and ``strip_accents``, whose Unicode tables Spark
-lacks; operators call those on distinct values only.
-"""
+"""Text normalisation as Column builders; everything stays in the JVM."""
 
 from __future__ import annotations
 
-import unicodedata
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from corvina.functions.unicode import let, nfc, strip_accents
 
 ENUMERATOR = r"^[A-Za-z0-9]{1,3}(?U:\s)*[).\-](?U:\s)+"
 BLANKS = r"(?U)\s+"
@@ -21,23 +16,6 @@ ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇ
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
 
 
-def let(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f of a value that is computed once, however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
-@F.pandas_udf(T.StringType())
-def nfc(values: pd.Series) -> pd.Series:
-    """Unicode normal form C; null stays null."""
-    return values.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
-
-
-@F.pandas_udf(T.StringType())
-def strip_accents(values: pd.Series) -> pd.Series:
-    """Compatibility decomposition without combining marks; null stays null."""
-    return values.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)), na_action="ignore")
-
-
 def plain_latin(c: Column) -> Column:
     """Accented Latin letters without their accents, in the JVM."""
     return F.translate(c, ACCENTED, PLAIN)
@@ -48,22 +26,20 @@ def squeeze(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, BLANKS, " "), r"^ | $", "")
 
 
-def norm_text(c: Column, *, compose: bool = False) -> Column:
-    """Without format characters, composed if asked, white space squeezed, one leading enumerator off; null is empty."""
+def norm_text(c: Column, *, compose: bool = True) -> Column:
+    """Without format characters, composed unless told not to, white space squeezed, one leading enumerator off; null is empty."""
     c = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"\p{Cf}", "")
     return F.regexp_replace(squeeze(nfc(c) if compose else c), ENUMERATOR, "")
 
 
-def fold_key(c: Column, *, exact: bool = False) -> Column:
-    """Normalised, lower case, no accents: by the full tables if ``exact``, else for Latin letters."""
-    low = F.lower(norm_text(c, compose=exact))
-    return strip_accents(low) if exact else plain_latin(low)
+def fold_key(c: Column) -> Column:
+    """Normalised, lower case, without accents or compatibility forms; composing first would change nothing here."""
+    return strip_accents(F.lower(norm_text(c, compose=False)))
 
 
 def header_key(c: Column) -> Column:
     """Folded header text with words broken by a hyphen joined again."""
-    low = F.lower(norm_text(c))
-    return plain_latin(F.replace(low, F.lit("- "), F.lit("")))
+    return strip_accents(F.replace(F.lower(norm_text(c, compose=False)), F.lit("- "), F.lit("")))
 
 
 def plain_lower(c: Column) -> Column:

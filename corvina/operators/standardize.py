@@ -1,66 +1,111 @@
 """Standardised deliveries and risks: terms, scores, reasons for review, confidence, and the reports on them.
 
-Each field is matched once for every distinct normalised text. What a match says about a text is recorded at the text's first
-row by the order column, later rows only take the value: a reviewer sees every spelling once.
+The texts of all fields are gathered in one pass, matched once for every distinct normalised text and kept; rows
+take their texts' results from there. What a match says about a text is recorded at the text's first row by the order
+column, later rows only take the value: a reviewer sees every spelling once. No row is ever lost, whatever is null in it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from corvina.functions.text import norm_text, plain_latin
+from corvina.functions.text import norm_text, strip_accents
 from corvina.functions.vocabularies import AXIS, IMPACT_SCALE, PROBABILITY_SCALE, PRODUCT, PRODUCT_AXIS, TREATMENTS, Vocabulary
-from corvina.operators.canonical import match_method, match_values
+from corvina.operators.canonical import match_fields, match_method
+from corvina.sources.shared import kept, near
 
+# What rows under review say, as reviewers' lists and the priorities of the queue know it.
 UNKNOWN = "UNMATCHED"
-#: A product outside the catalogue, and how long a description makes its row more than a fragment.
-OTHER, FRAGMENT = "Outros", 10
+OTHER = "Outros"
+UNKNOWN_PRODUCT, DOUBTFUL_PRODUCT = "produto não reconhecido (melhor score: ", "fuzzy match baixo ("
+AXIS_MOVED, AXIS_MOVED_TOO, MOVED_MARK = "eixo corrigido por cross-validation", "; eixo corrigido", "eixo corrigido"
+UNKNOWN_LEVEL = {"probability": "probabilidade não reconhecida (score: ", "impact": "impacto não reconhecido (score: "}
+DOUBTFUL_LEVEL = {"probability": "probabilidade fuzzy (", "impact": "impacto fuzzy ("}
+UNKNOWN_PART, UNKNOWN_PART_END, SEVERAL_PARTS = "tratamento '", "' não reconhecido (score: ", "tratamento múltiplo/composto ('"
 
+#: How long a description makes its row more than a fragment.
+FRAGMENT = 10
+#: What parts a text of several terms.
+PARTS = r"\s*[;,/]\s*"
 
-@F.pandas_udf(T.StringType())
-def two_places(values: pd.Series) -> pd.Series:
-    """A score with two decimals, rounded on its binary value; applied to distinct texts only."""
-    return values.map(lambda x: f"{x:.2f}", na_action="ignore")
 
+@dataclass(frozen=True)
+class Field:
+    """A column to standardise by a vocabulary; a composite one holds several terms."""
 
-def field_map(df: DataFrame, col: str, order: str, vocab: Vocabulary) -> DataFrame:
-    """(original, raw, first, n, match, score, shown, method, is_alias) for each distinct normalised text of ``col``.
-
-    raw and first are the text as it stands in the first row and that row's place, n is the number of rows, shown is the
-    score with two decimals. Null and blank texts are one, with score 0.
-    """
-    texts = df.groupBy(norm_text(F.col(col)).alias("original")).agg(F.min_by(F.coalesce(F.col(col), F.lit("")), order).alias("raw"), F.min(order).alias("first"), F.count("*").alias("n"))
-    found = match_values(texts, "raw", vocab).withColumnRenamed("raw", "__raw")
-    out = texts.join(found, F.col("raw") == F.col("__raw")).drop("__raw")
-    return out.withColumn("shown", two_places("score"))
-
-
-def _joined(df: DataFrame, col: str, field: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
-    """``df`` with ``columns`` of its text's row in ``field``, each named after the prefix."""
-    key = f"__{prefix}_key"
-    mine = field.select(F.col("original").alias(key), *[F.col(c).alias(f"__{prefix}_{c}") for c in columns])
-    return df.join(mine, norm_text(F.col(col)) == F.col(key)).drop(key)
-
-
-def _flags(df: DataFrame) -> DataFrame:
-    """``df`` with needs_review, review_reason and confidence, false, null and high where it lacks them."""
-    have = set(df.columns)
-    blank = {"needs_review": F.lit(False), "review_reason": F.lit(None).cast("string"), "confidence": F.lit("high")}
-    return df.withColumns({c: F.coalesce(F.col(c), v) if c in have else v for c, v in blank.items()})
+    col: str
+    vocab: Vocabulary
+    composite: bool = False
 
 
-def _product_map(df: DataFrame, order: str, product: str) -> DataFrame:
-    value = F.when(F.col("score") >= PRODUCT.low, F.col("match")).otherwise(PRODUCT.below)
-    return field_map(df, product, order, PRODUCT).withColumn("value", value)
+def field_maps(df: DataFrame, fields: Mapping[str, Field], order: str) -> DataFrame:
+    """(field, original, raw, first, n, match, score, shown, method, is_alias, parts) for each distinct normalised text of every field.
 
-
-def _axis_map(df: DataFrame, order: str, axis: str) -> DataFrame:
-    return field_map(df, axis, order, AXIS).withColumn("value", F.when(F.col("score") >= AXIS.low, F.col("match")).otherwise(F.col("raw")))
+    One scan of ``df``, one aggregation, one matching pass; the result is kept in the shared folder. first is the place of the text's
+    first row, a null order last, and raw the text as it stands there, the smallest of equals; n counts rows. Null and
+    blank texts are one, with score 0. A composite text has its parts' matches in parts, in order, and the worst part's score.
+    """
+    texts = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.coalesce(F.col(f.col).cast("string"), F.lit("")).alias("raw")) for name, f in fields.items()]))
+    rows = df.select(F.col(order).alias("o"), texts.alias("x")).select("x.field", norm_text(F.col("x.raw")).alias("original"), F.struct(F.col("o").isNull().alias("late"), "o", F.col("x.raw").alias("raw")).alias("place"))
+    found = rows.groupBy("field", "original").agg(F.min("place").alias("place"), F.count("*").alias("n"))
+    composite = F.col("field").isin(*[n for n, f in fields.items() if f.composite])
+    parts = F.filter(F.transform(F.split("original", PARTS), lambda p: F.trim(p)), lambda p: p != "")
+    each = found.select("*", F.posexplode_outer(F.when(composite, parts).otherwise(F.array("place.raw"))).alias("i", "part"))
+    each = match_fields(each, "part", {n: f.vocab for n, f in fields.items()})
+    one = F.struct("i", "part", "match", "score", "shown", "method", "is_alias")
+    maps = each.groupBy("field", "original").agg(F.first("place").alias("place"), F.first("n").alias("n"), F.array_sort(F.collect_list(one)).alias("parts"))
+    maps = maps.withColumn("parts", F.filter("parts", lambda p: p["i"].isNotNull()))
+    head = lambda c: F.get("parts", F.lit(0))[c]
+    worst = F.when(F.col("original") == "", 0.0).otherwise(F.coalesce(F.array_min(F.transform("parts", lambda p: p["score"])), F.lit(1.0)))
+    whole = strip_accents(F.lower("original"))
+    alias = F.coalesce(*[F.when(F.col("field") == n, whole.isin(*[k.lower() for k in f.vocab.aliases])) for n, f in fields.items() if f.composite], head("is_alias"))
+    maps = maps.select("field", "original", "place", "n", "parts", F.when(composite, F.lit(None).cast("string")).otherwise(head("match")).alias("match"), F.when(composite, worst).otherwise(head("score")).alias("score"), head("shown").alias("shown"), alias.alias("is_alias"))
+    method = F.coalesce(*[F.when(F.col("field") == n, match_method(F.col("score"), F.col("is_alias"), f.vocab)) for n, f in fields.items()])
+    return kept(maps.select("field", "original", F.col("place.raw").alias("raw"), F.struct("place.late", "place.o").alias("first"), "n", "match", "score", "shown", method.alias("method"), "is_alias", "parts"))
+
+
+class _Rows:
+    """``df`` under names that no column of its own can clash with, beside its fields' matches."""
+
+    def __init__(self, df: DataFrame, order: str, fields: Mapping[str, Field], maps: Mapping[str, DataFrame], columns: Sequence[str]):
+        self.names = df.columns
+        out = df.toDF(*[f"c{i}" for i in range(len(self.names))])
+        self.order = F.struct(self[order].isNull().alias("late"), self[order].alias("o"))
+        out = out.withColumns({f"key_{n}": norm_text(self[f.col]) for n, f in fields.items()})
+        for n, table in maps.items():
+            mine = near(table).select(F.col("original").alias(f"own_{n}"), *[F.col(c).alias(f"{n}_{c}") for c in columns])
+            out = out.join(mine, F.col(f"key_{n}") == F.col(f"own_{n}"), "left")
+        self.df = out
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(f"c{self.names.index(name)}")
+
+    def fresh(self, field: str) -> Column:
+        """Whether a row is the first of its text; rows that tie for the first place all are."""
+        return self.order.eqNullSafe(F.col(f"{field}_first"))
+
+    def flag(self, name: str, otherwise: Column) -> Column:
+        return F.coalesce(self[name], otherwise) if name in self.names else otherwise
+
+    def done(self, values: Mapping[str, Column]) -> DataFrame:
+        """The rows under their own names, ``values`` in the place of columns of their name or after all."""
+        return self.df.select(*[values.get(n, self[n]).alias(n) for n in self.names], *[v.alias(n) for n, v in values.items() if n not in self.names])
+
+
+def _flags(rows: _Rows) -> tuple[Column, Column, Column]:
+    """needs_review, review_reason and confidence: false, null and high where the rows lack them."""
+    return rows.flag("needs_review", F.lit(False)), rows.flag("review_reason", F.lit(None).cast("string")), rows.flag("confidence", F.lit("high"))
+
+
+def _delivery_maps(df: DataFrame, order: str, product: str, axis: str) -> tuple[dict[str, Field], dict[str, DataFrame]]:
+    fields = {"product": Field(product, PRODUCT), "axis": Field(axis, AXIS)}
+    maps = field_maps(df, fields, order)
+    value = lambda below: F.when(F.col("score") >= PRODUCT.low, F.col("match")).otherwise(below)
+    return fields, {"product": maps.where("field = 'product'").withColumn("value", value(F.lit(PRODUCT.below))), "axis": maps.where("field = 'axis'").withColumn("value", value(F.col("raw")))}
 
 
 def standardize_deliveries(df: DataFrame, *, order: str = "ord", product: str = "product", axis: str = "axis") -> DataFrame:
@@ -68,108 +113,105 @@ def standardize_deliveries(df: DataFrame, *, order: str = "ord", product: str =
 
     A product below 0.85 is reviewed with medium confidence, one below 0.70 is UNMATCHED with low confidence. An axis below 0.70 keeps
     its text. The axis that a known product belongs to overrides the row's, and is a reason for review of every row concerned.
-    ``order`` tells rows apart; null and blank texts are unmatched; columns of these names in ``df`` are replaced.
+    ``order`` tells rows apart: of rows with one text the first is reviewed, all of them where they tie, and rows without an order come
+    last. Null and blank texts are unmatched; columns of these names in ``df`` are replaced; every row comes back once.
     """
-    out = _joined(_flags(df), product, _product_map(df, order, product), "p", ("first", "value", "score", "shown", "method"))
-    out = _joined(out, axis, _axis_map(df, order, axis), "a", ("value", "score", "method"))
-    fresh = F.col(order) == F.col("__p_first")
-    doubtful, unknown = F.col("__p_score") < PRODUCT.high, F.col("__p_score") < PRODUCT.low
-    reason = F.when(fresh & unknown, F.concat(F.lit("produto não reconhecido (melhor score: "), "__p_shown", F.lit(")"))).when(fresh & doubtful, F.concat(F.lit("fuzzy match baixo ("), "__p_shown", F.lit(")"))).otherwise(F.col("review_reason"))
-    out = out.withColumns({
-        "review_reason": reason,
-        "needs_review": F.col("needs_review") | (fresh & doubtful),
-        "confidence": F.when(fresh & unknown, "low").when(fresh & doubtful, "medium").otherwise(F.col("confidence")),
-        "__own": F.element_at(F.create_map(*[F.lit(x) for pair in PRODUCT_AXIS.items() for x in pair]), F.col("__p_value")),
+    fields, maps = _delivery_maps(df, order, product, axis)
+    rows = _Rows(df, order, fields, maps, ("first", "value", "score", "shown", "method"))
+    review, reason, confidence = _flags(rows)
+    score, shown, value = F.col("product_score"), F.col("product_shown"), F.col("product_value")
+    fresh, doubtful, unknown = rows.fresh("product"), score < PRODUCT.high, score < PRODUCT.low
+    why = F.when(fresh & unknown, F.concat(F.lit(UNKNOWN_PRODUCT), shown, F.lit(")"))).when(fresh & doubtful, F.concat(F.lit(DOUBTFUL_PRODUCT), shown, F.lit(")"))).otherwise(reason)
+    own = F.element_at(F.create_map(*[F.lit(x) for pair in PRODUCT_AXIS.items() for x in pair]), value)
+    rows.df = rows.df.withColumns({"why": why, "review": review | (fresh & doubtful), "own": own})
+    moved = F.coalesce(F.col("own") != F.col("axis_value"), F.lit(False))
+    change = F.concat(F.lit(": '"), "axis_value", F.lit("' → '"), "own", F.lit("'"))
+    known = F.coalesce("why", F.lit(""))
+    more = F.when((known == "") | known.contains(MOVED_MARK), F.col("why")).otherwise(F.concat(known, F.lit(AXIS_MOVED_TOO), change))
+    return rows.done({
+        "needs_review": F.col("review") | moved,
+        "review_reason": F.when(moved & ~F.col("review"), F.concat(F.lit(AXIS_MOVED), change)).when(moved, more).otherwise(F.col("why")),
+        "confidence": F.when(fresh & unknown, "low").when(fresh & doubtful, "medium").otherwise(confidence),
+        f"{product}_value": value, f"{product}_score": F.round(score, 3), f"{product}_method": F.col("product_method"),
+        f"{axis}_value": F.coalesce("own", "axis_value"), f"{axis}_score": F.round("axis_score", 3), f"{axis}_method": F.col("axis_method"),
     })
-    moved = F.coalesce(F.col("__own") != F.col("__a_value"), F.lit(False))
-    change = F.concat(F.lit(": '"), "__a_value", F.lit("' → '"), "__own", F.lit("'"))
-    known = F.coalesce("review_reason", F.lit(""))
-    more = F.when((known == "") | known.contains("eixo corrigido"), F.col("review_reason")).otherwise(F.concat(known, F.lit("; eixo corrigido"), change))
-    return out.withColumns({
-        "review_reason": F.when(moved & ~F.col("needs_review"), F.concat(F.lit("eixo corrigido por cross-validation"), change)).when(moved, more).otherwise(F.col("review_reason")),
-        "needs_review": F.col("needs_review") | moved,
-        f"{product}_value": F.col("__p_value"), f"{product}_score": F.round("__p_score", 3), f"{product}_method": F.col("__p_method"),
-        f"{axis}_value": F.coalesce("__own", "__a_value"), f"{axis}_score": F.round("__a_score", 3), f"{axis}_method": F.col("__a_method"),
-    }).select(*[c for c in dict.fromkeys([*df.columns, "needs_review", "review_reason", "confidence", *[f"{f}_{x}" for f in (product, axis) for x in ("value", "score", "method")]])])
 
 
 def _report(kind: str, field: DataFrame) -> DataFrame:
     return field.select(F.lit(kind).alias("type"), "original", F.col("value").alias("normalized"), "score", "n")
 
 
+def _reports(maps: Mapping[str, DataFrame], names: Mapping[str, str]) -> DataFrame:
+    out = None
+    for name, field in maps.items():
+        one = _report(names[name], field)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def delivery_mappings(df: DataFrame, *, order: str = "ord", product: str = "product", axis: str = "axis") -> DataFrame:
     """(type, original, normalized, score, n): what became of every distinct product and axis, sorted by type and original."""
-    both = _report(product, _product_map(df, order, product)).unionByName(_report(axis, _axis_map(df, order, axis)))
-    return both.orderBy("type", "original")
-
-
-def _risk_maps(df: DataFrame, order: str, fields: dict[str, str]) -> dict[str, DataFrame]:
-    """What each of the three fields' texts become, with the reasons for review that a text's first row gets."""
-    maps = {}
-    for name, vocab, ending in (("probability", PROBABILITY_SCALE, "a"), ("impact", IMPACT_SCALE, "o")):
-        label = {"probability": "probabilidade", "impact": "impacto"}[name]
-        got = field_map(df, fields[name], order, vocab)
-        reason = F.when(F.col("score") < vocab.low, F.concat(F.lit(f"{label} não reconhecid{ending} (score: "), "shown", F.lit(")"))).when(F.col("score") < vocab.high, F.concat(F.lit(f"{label} fuzzy ("), "shown", F.lit(")")))
-        maps[name] = got.withColumns({"value": F.when(F.col("score") >= vocab.low, F.col("match")).otherwise(F.col("raw")), "reasons": F.when(reason.isNotNull(), F.array(reason)).otherwise(F.array().cast("array<string>"))})
-    maps["treatment"] = _treatment_map(df, fields["treatment"], order)
-    return maps
-
-
-def _treatment_map(df: DataFrame, col: str, order: str) -> DataFrame:
-    """Texts of several parts, each part matched by itself; the score is the worst part's, 0 for a blank text."""
-    v = TREATMENTS
-    texts = df.groupBy(norm_text(F.col(col)).alias("original")).agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    parts = texts.select("original", F.posexplode(F.split("original", r"\s*[;,/]\s*")).alias("i", "part")).withColumn("part", F.trim("part")).where("part <> ''")
-    got = match_values(parts, "part", v).select(F.col("part").alias("__part"), "match", "score").withColumn("shown", two_places("score"))
-    each = parts.join(got, F.col("part") == F.col("__part"))
-    unknown = F.col("score") < v.low
-    each = each.withColumn("x", F.struct("i", F.when(unknown, F.col("part")).otherwise(F.col("match")).alias("value"), F.when(unknown, F.concat(F.lit("tratamento '"), "part", F.lit("' não reconhecido (score: "), "shown", F.lit(")"))).alias("reason")))
-    one = each.groupBy(F.col("original").alias("__o")).agg(F.array_sort(F.collect_list("x")).alias("xs"), F.min("score").alias("worst"))
-    out = texts.join(one, F.col("original") == F.col("__o"), "left")
-    score = F.when(F.col("original") == "", 0.0).otherwise(F.coalesce("worst", F.lit(1.0)))
-    low = plain_latin(F.lower("original"))
-    alias = low.isin(*[k.lower() for k in v.aliases])
-    out = out.select("original", "first", "n", F.coalesce(F.array_join(F.transform("xs", lambda x: x["value"]), "; "), "original").alias("value"), score.alias("score"), F.coalesce(F.array_compact(F.transform("xs", lambda x: x["reason"])), F.array().cast("array<string>")).alias("reasons"), alias.alias("is_alias"))
-    return out.withColumn("method", match_method(F.col("score"), F.col("is_alias"), v)).drop("is_alias")
+    return _reports(_delivery_maps(df, order, product, axis)[1], {"product": product, "axis": axis}).orderBy("type", "original")
 
 
 FIELDS = {"probability": "probability", "impact": "impact", "treatment": "treatment"}
 
 
-def standardize_risks(df: DataFrame, *, order: str = "ord", fields: dict[str, str] = FIELDS) -> DataFrame:
+def _risk_maps(df: DataFrame, order: str, cols: Mapping[str, str]) -> tuple[dict[str, Field], dict[str, DataFrame]]:
+    """What each of the three fields' texts become, with the reasons for review that a text's first row gets.
+
+    A treatment has one part or several, each matched by itself; its score is the worst part's, 0 for a blank text.
+    """
+    vocabs = {"probability": PROBABILITY_SCALE, "impact": IMPACT_SCALE, "treatment": TREATMENTS}
+    fields = {n: Field(cols[n], v, n == "treatment") for n, v in vocabs.items()}
+    every, maps = field_maps(df, fields, order), {}
+    none = F.array().cast("array<string>")
+    for n in ("probability", "impact"):
+        low, high = F.col("score") < vocabs[n].low, F.col("score") < vocabs[n].high
+        reason = F.when(low, F.concat(F.lit(UNKNOWN_LEVEL[n]), "shown", F.lit(")"))).when(high, F.concat(F.lit(DOUBTFUL_LEVEL[n]), "shown", F.lit(")")))
+        maps[n] = every.where(F.col("field") == n).withColumns({"value": F.when(low, F.col("raw")).otherwise(F.col("match")), "reasons": F.when(reason.isNotNull(), F.array(reason)).otherwise(none)})
+    unknown = lambda p: p["score"] < TREATMENTS.low
+    value = F.array_join(F.transform("parts", lambda p: F.when(unknown(p), p["part"]).otherwise(p["match"])), "; ")
+    reasons = F.transform(F.filter("parts", unknown), lambda p: F.concat(F.lit(UNKNOWN_PART), p["part"], F.lit(UNKNOWN_PART_END), p["shown"], F.lit(")")))
+    maps["treatment"] = every.where("field = 'treatment'").withColumns({"value": F.when(F.size("parts") > 0, value).otherwise(F.col("original")), "reasons": reasons})
+    return fields, maps
+
+
+def standardize_risks(df: DataFrame, *, order: str = "ord", fields: Mapping[str, str] = FIELDS) -> DataFrame:
     """``df`` with <field>_value, _score, _method of probability, impact and treatment, needs_review, review_reason and confidence.
 
     Below 0.70 a field keeps its text. The worst of the three scores sets the confidence: high from 0.85 on unless the row is under
-    review, medium from 0.70, else low. A treatment of several parts is always reviewed. Reasons are appended to those the row has.
+    review, medium from 0.70, else low. A treatment of several parts is always reviewed. Reasons are appended to those the row has;
+    a text's reasons stand at its first row, at all of them where they tie. Every row comes back once, nulls in any column included.
     """
-    maps = _risk_maps(df, order, fields)
-    out = _flags(df)
-    reasons = []
-    for name, field in maps.items():
-        out = _joined(out, fields[name], field, name, ("first", "value", "score", "method", "reasons"))
-        reasons.append(F.when(F.col(order) == F.col(f"__{name}_first"), F.col(f"__{name}_reasons")).otherwise(F.array().cast("array<string>")))
-    several = F.col("__treatment_value").contains("; ")
-    reasons.append(F.when(several, F.array(F.concat(F.lit("tratamento múltiplo/composto ('"), F.substring("__treatment_value", 1, 40), F.lit("')")))).otherwise(F.array().cast("array<string>")))
-    worst = F.least(*[F.col(f"__{name}_score") for name in maps])
-    out = out.withColumn("__why", F.concat(*reasons)).withColumn("__worst", worst).withColumn("needs_review", F.col("needs_review") | several)
-    confidence = F.when(worst < 0.70, "low").when(worst < 0.85, "medium").when(~F.col("needs_review"), "high").otherwise(F.col("confidence"))
-    text = F.array_join("__why", "; ")
-    out = out.withColumns({
-        "confidence": confidence,
-        "needs_review": F.col("needs_review") | (worst < 0.85) | (F.size("__why") > 0),
-        "review_reason": F.when(F.size("__why") == 0, F.col("review_reason")).when(F.coalesce("review_reason", F.lit("")) == "", text).otherwise(F.concat("review_reason", F.lit("; "), text)),
-    })
-    out = out.withColumns({f"{fields[n]}_{x}": (F.round(f"__{n}_{x}", 3) if x == "score" else F.col(f"__{n}_{x}")) for n in maps for x in ("value", "score", "method")})
-    return out.select(*dict.fromkeys([*df.columns, "needs_review", "review_reason", "confidence", *[f"{fields[n]}_{x}" for n in maps for x in ("value", "score", "method")]]))
+    named, maps = _risk_maps(df, order, fields)
+    rows = _Rows(df, order, named, maps, ("first", "value", "score", "method", "reasons"))
+    review, reason, confidence = _flags(rows)
+    none = F.array().cast("array<string>")
+    several = F.col("treatment_value").contains("; ")
+    reasons = [F.when(rows.fresh(n), F.col(f"{n}_reasons")).otherwise(none) for n in maps]
+    reasons.append(F.when(several, F.array(F.concat(F.lit(SEVERAL_PARTS), F.substring("treatment_value", 1, 40), F.lit("')")))).otherwise(none))
+    rows.df = rows.df.withColumns({"why": F.concat(*reasons), "worst": F.least(*[F.col(f"{n}_score") for n in maps]), "review": review | several})
+    worst, some, text = F.col("worst"), F.size("why") > 0, F.array_join("why", "; ")
+    values = {
+        "needs_review": F.col("review") | (worst < 0.85) | some,
+        "review_reason": F.when(~some, reason).when(F.coalesce(reason, F.lit("")) == "", text).otherwise(F.concat(reason, F.lit("; "), text)),
+        "confidence": F.when(worst < 0.70, "low").when(worst < 0.85, "medium").when(~F.col("review"), "high").otherwise(confidence),
+    }
+    for n in maps:
+        values |= {f"{fields[n]}_{x}": F.round(f"{n}_{x}", 3) if x == "score" else F.col(f"{n}_{x}") for x in ("value", "score", "method")}
+    return rows.done(values)
+
+
+def risk_mappings(df: DataFrame, *, order: str = "ord", fields: Mapping[str, str] = FIELDS) -> DataFrame:
+    """(type, original, normalized, score, n): what became of every distinct text of the three fields, sorted by type and original."""
+    return _reports(_risk_maps(df, order, fields)[1], {n: n for n in fields}).orderBy("type", "original")
 
 
-def risk_mappings(df: DataFrame, *, order: str = "ord", fields: dict[str, str] = FIELDS) -> DataFrame:
-    """(type, original, normalized, score, n): what became of every distinct text of the three fields, sorted by type and original."""
-    out = None
-    for name, field in _risk_maps(df, order, fields).items():
-        one = _report(name, field)
-        out = one if out is None else out.unionByName(one)
-    return out.orderBy("type", "original")
+def all_mappings(deliveries: DataFrame, risks: DataFrame, *, order: str = "ord") -> DataFrame:
+    """(type, original, normalized, score, n) of all five fields of both tables in one list, sorted by type and original."""
+    d, r = _delivery_maps(deliveries, order, "product", "axis")[1], _risk_maps(risks, order, FIELDS)[1]
+    return _reports(d | r, {n: n for n in (*d, *r)}).orderBy("type", "original")
 
 
 def match_stats(mappings: DataFrame) -> DataFrame:

@@ -7,17 +7,14 @@ over the tables of a document; nothing is kept in Python between rows.
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvina.functions.dates import parse_date
 from corvina.functions import text as X
-from corvina.functions.text import header_key, is_fragment, is_literal, let, norm_text, plain_latin, squeeze
+from corvina.functions.text import header_key, is_fragment, is_literal, let, norm_text, squeeze, strip_accents
 from corvina.functions.vocabularies import PRODUCT_AXIS, Vocabulary
-from corvina.operators.canonical import match_values
+from corvina.operators.canonical import best_ratio, match_values
 
 # The words by which the tables of such documents are told apart.
 RISK_WORDS = ("risco", "probabilidade", "impacto", "tratamento", "ocorrer")
@@ -59,7 +56,7 @@ def _combined() -> Column:
 
 
 def _all_text() -> Column:
-    return plain_latin(F.lower(F.array_join(F.flatten(F.col("rows")), " ", "")))
+    return strip_accents(F.lower(F.array_join(F.flatten(F.col("rows")), " ", "")))
 
 
 def directive_kind() -> Column:
@@ -98,7 +95,7 @@ def has_risk_data() -> Column:
 
 def is_subheader(cells: Column) -> Column:
     """Whether a row explains how to fill the columns."""
-    return contains_any(plain_latin(F.lower(F.array_join(cells, " ", ""))), SUBHEADERS)
+    return contains_any(strip_accents(F.lower(F.array_join(cells, " ", ""))), SUBHEADERS)
 
 
 def is_orphan() -> Column:
@@ -138,43 +135,40 @@ def is_other(c: Column) -> Column:
     return F.lower(norm_text(c)).isin(*OTHER)
 
 
-def risk_roles(header: Column) -> Column:
-    """(risk, probability, impact, treatment, actions): places of the roles in a folded header, null for none.
+def risk_roles(headers: DataFrame, col: str = "header") -> DataFrame:
+    """(header, at): for each distinct header the places of risk, probability, impact, treatment and actions, null for none.
 
-    Words inside a header count first, then similar wording; ids are no risks. Roles without a header take
-    their usual place, one further on behind an id column.
+    Words inside a name count first, by their share of it, then similar wording from 0.65 on; ids are no risks. Roles
+    without a name take their usual place, one further on behind an id column, if no other role has it.
     """
-    kind = ", ".join(f"{r} int" for r in ROLE_WORDS)
-
-    def places(names: list[str]) -> tuple[int | None, ...]:
-        ids = {i for i, n in enumerate(names) if n in ID_HEADERS or n.startswith("id ")}
-        out: dict[str, int | None] = {}
-        for role, words in ROLE_WORDS.items():
-            best, score = None, 0.0
-            for i, n in enumerate(names):
-                if role == "risk" and i in ids:
-                    continue
-                for s in (max(len(w) / max(len(n), 1), 0.85) for w in words if w in n):
-                    if s > score:
-                        best, score = i, s
-                if best is None:
-                    for s in (difflib.SequenceMatcher(None, n, w).ratio() for w in words):
-                        if s > score and s >= 0.65:
-                            best, score = i, s
-            out[role] = best
-        step = 1 if len(names) >= 6 and (0 in ids or names[0] == "col0") else 0
-        used = {i for i in out.values() if i is not None}
-        for at, role in enumerate(ROLE_WORDS, step):
-            if out[role] is None and at < len(names) and at not in used and at not in ids:
-                out[role] = at
-                used.add(at)
-        return tuple(out.values())
-
-    @F.pandas_udf(kind)
-    def f(headers: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([places(list(h)) for h in headers], columns=list(ROLE_WORDS)).astype("Int32")
-
-    return f(_cells(header))
+    names = headers.select(F.col(col).alias("header")).distinct().select("header", F.posexplode(_cells(F.col("header"))).alias("i", "name"))
+    names = names.withColumn("is_id", F.col("name").isin(*ID_HEADERS) | F.col("name").startswith("id "))
+    each = names.select("*", F.posexplode(F.array(*map(F.lit, ROLE_WORDS))).alias("place", "role"))
+    length = F.greatest(F.length("name"), F.lit(1))
+    inside = F.coalesce(*[F.when(F.col("role") == r, F.array_max(F.transform(F.filter(F.array(*map(F.lit, w)), lambda x: F.col("name").contains(x)), lambda x: F.greatest(F.length(x) / length, F.lit(0.85))))) for r, w in ROLE_WORDS.items()])
+    similar = best_ratio(F.col("role"), F.when(F.col("name") != "", F.col("name")), ROLE_WORDS)
+    each = each.withColumn("inside", inside).withColumn("similar", similar["score"])
+    no_risk = (F.col("role") == "risk") & F.col("is_id")
+    each = each.withColumns({"inside": F.when(~no_risk, F.col("inside")), "similar": F.when(~no_risk & (F.col("similar") >= 0.65), F.col("similar"))})
+    columns = F.array_sort(F.collect_list(F.struct("i", "inside", "similar")))
+    state = "struct<best:int,score:double>"
+    at = lambda best, score: F.struct(best.alias("best"), score.alias("score")).cast(state)
+
+    def better(s: Column, x: Column) -> Column:
+        return F.when(F.coalesce(x["inside"], F.lit(0.0)) > s["score"], at(x["i"], x["inside"])).when(s["best"].isNull() & x["similar"].isNotNull(), at(x["i"], x["similar"])).otherwise(s)
+
+    by_role = each.groupBy("header", "place").agg(F.aggregate(columns, at(F.lit(None), F.lit(0.0)), better)["best"].alias("best"), F.max_by("name", -F.col("i")).alias("first"), F.collect_set(F.when(F.col("is_id"), F.col("i"))).alias("ids"))
+    found = by_role.groupBy("header").agg(F.first("first").alias("first"), F.first("ids").alias("ids"), F.transform(F.array_sort(F.collect_list(F.struct("place", "best"))), lambda x: x["best"]).alias("best"))
+    n = F.size("header")
+    step = F.when((n >= 6) & (F.array_contains("ids", 0) | (F.col("first") == "col0")), 1).otherwise(0)
+
+    def usual(out: Column, k: Column) -> Column:
+        own, place = F.get(F.col("best"), k), k + step
+        free = own.isNull() & (place < n) & ~F.array_contains("ids", place) & ~F.exists(F.concat(F.col("best"), out), lambda x: F.coalesce(x == place, F.lit(False)))
+        return F.concat(out, F.array(F.when(free, place).otherwise(own)))
+
+    places = F.aggregate(F.sequence(F.lit(0), F.lit(len(ROLE_WORDS) - 1)), F.array().cast("array<int>"), usual)
+    return found.select("header", places.alias("p")).select("header", F.struct(*[F.get("p", F.lit(k)).alias(r) for k, r in enumerate(ROLE_WORDS)]).alias("at"))
 
 
 def long_rows(grid: DataFrame) -> DataFrame:
@@ -235,14 +229,15 @@ def risk_rows(grid: DataFrame) -> DataFrame:
     clean = lambda c: let(norm_text(c), lambda x: F.when(F.lower(x).isin("nan", "none"), F.lit("")).otherwise(x))
     g = carry_tables(grid).where("how is not null")
     # One row for each table, its parts unpacked at once: the tables are classified a single time.
-    g = g.withColumn("at", F.when(F.col("how") == "header", risk_roles(F.col("header"))))
+    roles = risk_roles(g.where("how = 'header'")).withColumnRenamed("header", "named")
+    g = g.join(roles, (F.col("how") == "header") & (F.col("header") == F.col("named")), "left").drop("named")
     short = F.forall(F.slice("rows", 1, 3), lambda r: F.length(squeeze(F.coalesce(F.get(r, F.lit(0)), F.lit("")))) <= 3)
     body = F.transform(F.col("rows"), lambda r, i: F.struct(i.alias("row"), r.alias("cells")))
     lifted = F.array(F.struct(F.lit(-1).alias("row"), F.col("header").alias("cells")))
     every = F.when(F.col("how") == "data_header", F.concat(lifted, body)).otherwise(body)
     rows = g.select("doc", "page", "tbl", "how", "at", F.size("header").alias("ncols"), (short & (F.size("header") > 5)).alias("step"), F.inline(every)).withColumn("step", F.col("step") & (F.col("row") >= 0))
     place = {r: F.coalesce(F.col(f"at.{r}"), F.when(F.col("how") != "header", F.lit(i) + F.coalesce(F.col("step"), F.lit(False)).cast("int"))) for i, r in enumerate(ROLE_WORDS)}
-    cells = F.struct(*[F.coalesce(clean(F.get("cells", p)), F.lit("")).alias(r) for r, p in place.items()])
+    cells = let(F.transform(F.array(*[F.get("cells", p) for p in place.values()]), clean), lambda v: F.struct(*[F.get(v, F.lit(i)).alias(r) for i, r in enumerate(place)]))
     # Unpacked as a generated row, the cells are computed once for all tests below.
     out = rows.where(~is_subheader(F.col("cells"))).select("doc", "page", "tbl", "row", F.col("how").alias("source"), F.inline(F.array(cells)))
     literal = F.lit(False)

@@ -1,9 +1,14 @@
 """Text, dates and figures by example."""
 
+import contextlib
+import io
+import random
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
-from corvina.functions import dates, numbers, text
+from corvina.functions import dates, numbers, text, unicode
 from corvina.sources import web
 
 
@@ -64,3 +69,23 @@ def test_download(spark):
 
     rows = spark.createDataFrame([("good",), ("good",), ("bad",), (None,)], "url string")
     assert {(r["url"], r["status"]) for r in web.download(rows, get=get, delay=0).collect()} == {("good", "ok"), ("bad", "not_the_type")}
+
+
+def test_normal_forms_equal_the_library(spark):
+    """Every assigned character of the lower planes, chance texts of marks, letters and syllables, a long run of marks, null and empty."""
+    r = random.Random(3)
+    known, marks = unicode._known(), list(unicode._classes())
+    pool = known + marks + [chr(x) for x in range(0x41, 0x7B)] * 20 + [chr(unicode.L + i) for i in range(19)] * 3 + [chr(unicode.V + i) for i in range(21)] * 5 + [chr(unicode.TRAIL + i) for i in range(1, 28)] * 3 + [chr(0xAC00 + 28 * i) for i in range(300)] + ["\n", " ", "\U0001f600"] * 50
+    few = list("aeiouAEIOUcnsyxz") + ["\u0300", "\u0301", "\u0302", "\u0303", "\u0308", "\u0327", "\u0323", "\u0304", "\u0328"] * 2
+    texts = known + ["".join(r.choice(p) for _ in range(r.randrange(1, 13))) for p in (pool, few) for _ in range(4000)] + ["a" + "\u0323\u0301" * 500, "", "plain", "\x01e\u0301\x02"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", unicode.nfc(F.col("t")).alias("nfc"), text.strip_accents(F.col("t")).alias("plain")).collect()
+    for x in rows:
+        assert x["t"] is None and x["nfc"] is None and x["plain"] is None or x["nfc"] == unicodedata.normalize("NFC", x["t"]), ascii(x)
+        assert x["t"] is None or x["plain"] == "".join(c for c in unicodedata.normalize("NFKD", x["t"]) if not unicodedata.combining(c)), ascii(x)
+
+
+def test_normal_forms_stay_in_the_jvm(spark):
+    df = spark.createDataFrame([("x",)], "t string").select(text.norm_text(F.col("t")), text.strip_accents(F.col("t")))
+    with contextlib.redirect_stdout(io.StringIO()) as shown:
+        df.explain("formatted")
+    assert "Project" in shown.getvalue() and "Eval" not in shown.getvalue()
