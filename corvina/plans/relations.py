@@ -273,12 +273,16 @@ def best_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return better_of(c.where("role <> 'system'").select("conv_id", "turn"), c.where("length(text) > 40").select("conv_id", "turn"), "conv_id")
 
 
-@query("composite_treatments", """SELECT * FROM (VALUES ('mitigar; transferir', 'mitigar; transferir', CAST(1.0 AS DOUBLE), 2), ('reduzir', 'mitigar', 0.95, 1), ('mitigar/transferir', 'mitigar; transferir', 0.95, 2), ('Aceitar, evitar', 'aceitar; eliminar', 0.95, 2), ('', '', 0.0, 0)) t(raw, treatment_value, treatment_score, treatment_parts)""")
-def composite_treatments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Multi-valued treatments, each part matched, scored by the worst."""
-    from corvina.functions.vocabularies import TREATMENTS
+_TREATED = {"mitigar; transferir": ("mitigar; transferir", 1.0, 2), "reduzir": ("mitigar", 0.95, 1), "mitigar/transferir": ("mitigar; transferir", 0.95, 2), "Aceitar, evitar": ("aceitar; eliminar", 0.95, 2), "": ("", 0.0, 0)}
 
-    rows = spark.createDataFrame([(t,) for t in ("mitigar; transferir", "reduzir", "mitigar/transferir", "Aceitar, evitar", "")], "raw string")
-    return canonical.composite(rows, "raw", "raw", TREATMENTS)
 
+@query("composite_treatments", f"""
+SELECT o_orderkey, raw, treatment_value, CAST(treatment_score AS DOUBLE) AS treatment_score, treatment_parts FROM orders
+JOIN (VALUES {", ".join(f"({i}, '{k}', '{v}', {s}, {n})" for i, (k, (v, s, n)) in enumerate(_TREATED.items()))}) t(i, raw, treatment_value, treatment_score, treatment_parts) ON i = o_orderkey % {len(_TREATED)}""")
+def composite_treatments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-valued treatments of all orders, each part matched, scored by the worst."""
+    from corvina.functions.vocabularies import TREATMENTS
 
+    raw = F.get(F.array(*map(F.lit, _TREATED)), F.pmod("o_orderkey", F.lit(len(_TREATED))).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
+    return canonical.composite(rows, "raw", "o_orderkey", TREATMENTS)

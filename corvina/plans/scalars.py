@@ -73,15 +73,23 @@ def canon_fuzzy_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SCALES = [("probability", PROBABILITY, PROBABILITY_ALIASES, PROBABILITY_SCALE), ("impact", IMPACT, IMPACT_ALIASES, IMPACT_SCALE), ("treatment", TREATMENT, TREATMENT_ALIASES, TREATMENTS)]
 
 
-@query("scale_levels", "SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{k}', '{v}', CAST({s} AS DOUBLE), '{m}')" for n, terms, aliases, _ in _SCALES for k, v, s, m in [*((k, v, 0.95, "alias") for k, v in aliases.items()), *((t.upper(), t, 1.0, "exact") for t in terms)]) + ") t(field, raw, value, score, method)")
+_SPELLED = {n: [*aliases, *(t.upper() for t in terms)] for n, terms, aliases, _ in _SCALES}
+
+
+def _levels_sql(n: str, terms: tuple[str, ...], aliases: dict[str, str]) -> str:
+    rows = ", ".join(f"('{k}', '{v}', CAST({s} AS DOUBLE), '{m}')" for k, v, s, m in [*((k, v, 0.95, "alias") for k, v in aliases.items()), *((t.upper(), t, 1.0, "exact") for t in terms if t.lower() not in {k.lower() for k in aliases})])
+    seen = "[" + ", ".join(f"'{t}'" for t in _SPELLED[n]) + "]"
+    return f"SELECT o_orderkey, '{n}' AS field, k AS raw, v AS value, s AS score, m AS method FROM orders JOIN (VALUES {rows}) l(k, v, s, m) ON k = ({seen})[CAST(1 + o_orderkey % {len(_SPELLED[n])} AS INT)]"
+
+
+@query("scale_levels", " UNION ALL ".join(_levels_sql(n, terms, aliases) for n, terms, aliases, _ in _SCALES))
 def scale_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every alias and term of the three risk scales, matched against its scale."""
-    out = None
-    for name, terms, aliases, vocab in _SCALES:
-        rows = spark.createDataFrame([(k,) for k in [*aliases, *(t.upper() for t in terms)]], "raw string")
-        one = canonical.match_values(rows, "raw", vocab).select(F.lit(name).alias("field"), "raw", F.col("match").alias("value"), "score", "method")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """The aliases and terms of the three risk scales as orders carry them, matched against their scales at once."""
+    k = F.col("o_orderkey")
+    seen = [F.struct(F.lit(n).alias("field"), F.get(F.array(*map(F.lit, texts)), F.pmod(k, F.lit(len(texts))).cast("int")).alias("raw")) for n, texts in _SPELLED.items()]
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.array(*seen)).alias("x")).select("o_orderkey", "x.*")
+    found = canonical.match_fields(rows.select("field", "raw").distinct(), "raw", {n: vocab for n, _, _, vocab in _SCALES})
+    return rows.join(found, ["field", "raw"]).select("o_orderkey", "field", "raw", F.col("match").alias("value"), "score", "method")
 
 
 _NORM = ["A) Evitar", "12) Item", "II. Probabilidade", "iv) opção", "abcd) X", "hello\t\n world", "a​b­", "x  y", "TI - falha", "mar. 2025", "", None]
@@ -175,8 +183,13 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "href", "anchor", F.lower("href").endswith(".pdf").alias("is_pdf"), F.regexp_extract("href", "[^/]*$", 0).alias("file"), text.link_kind(F.col("anchor"), F.col("href"), (("home", ("home",)), ("about", ("about",)))).alias("kind"))
 
 
-@query("header_codes", """SELECT * FROM (VALUES (0,'SUSEP',0),(0,'ANTAQ',1),(1,'ANATEL',0),(2,'SG-PR',0)) t(id, code, pos)""")
+@query("header_codes", """
+WITH h AS (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN ['N' || s_nationkey || 'A', 'SUP-' || s_suppkey] WHEN 1 THEN ['ANATEL'] WHEN 2 THEN ['SG-PR'] ELSE CAST([] AS VARCHAR[]) END AS codes FROM supplier)
+SELECT s_suppkey, unnest(codes) AS code, CAST(generate_subscripts(codes, 1) - 1 AS INT) AS pos FROM h""")
 def header_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes of headers that name one or more bodies."""
-    rows = spark.createDataFrame(list(enumerate(["Plano de Transformação Digital SUSEP / ANTAQ:", "Plano de Transformação Digital ANATEL (NOVO):", "Plano de Transformação Digital SG-PR:", "Plano de Transformação Digital texto"])), "id int, h string")
-    return rows.select("id", F.posexplode(text.header_codes(F.col("h"), r"Plano\s+de\s+Transforma[çc][ãa]o\s+Digital")).alias("pos", "code")).select("id", "code", "pos")
+    """Codes of headers that name one or more bodies, each supplier's own among them."""
+    k = F.col("s_suppkey")
+    own = F.concat(F.lit("Plano de Transformação Digital N"), "s_nationkey", F.lit("A / SUP-"), k, F.lit(":"))
+    h = F.when(k % 4 == 0, own).when(k % 4 == 1, "Plano de Transformação Digital ANATEL (NOVO):").when(k % 4 == 2, "Plano de Transformação Digital SG-PR:").otherwise(F.concat(F.lit("Plano de Transformação Digital texto "), F.lower("s_name")))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", h.alias("h"))
+    return rows.select("s_suppkey", F.posexplode(text.header_codes(F.col("h"), r"Plano\s+de\s+Transforma[çc][ãa]o\s+Digital")).alias("pos", "code")).select("s_suppkey", "code", "pos")

@@ -147,11 +147,15 @@ def risk_match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize.match_stats(standardize.risk_mappings(_risks(spark, sf_dir)))
 
 
+_HEADS = sorted({h for h, _ in GROUP_ROWS})
+
+
 @query("named_groups", f"""
-WITH g AS (SELECT * FROM (VALUES {', '.join(f"('{h}', '{m}')" for h, m in GROUP_ROWS)}) v(head, member)), e AS (SELECT DISTINCT head AS entity, 'plan of ' || head AS url FROM g)
-SELECT g.member AS entity, 'plan of ' || head AS url, CASE WHEN head <> member THEN head END AS inherited_from FROM g""")
+WITH g AS (SELECT * FROM (VALUES {', '.join(f"('{h}', '{m}')" for h, m in GROUP_ROWS)}) v(head, member)),
+e AS (SELECT {picked([*_HEADS, 'X'], 's_suppkey')} AS entity, max(s_name) AS url FROM supplier GROUP BY 1)
+SELECT coalesce(g.member, entity) AS entity, url, CASE WHEN head <> member THEN head END AS inherited_from FROM e LEFT JOIN g ON head = entity""")
 def named_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every body of the known groups with the plan that its head publishes."""
+    """Every body of the known groups with the plan that its head among the suppliers publishes; others keep their own."""
     g = spark.createDataFrame(GROUP_ROWS, "head string, member string")
-    heads = g.select(F.col("head").alias("entity"), F.concat(F.lit("plan of "), "head").alias("url")).distinct()
+    heads = table(spark, sf_dir, "supplier").select(pick([*_HEADS, "X"], F.col("s_suppkey")).alias("entity"), "s_name").groupBy("entity").agg(F.max("s_name").alias("url"))
     return groups.expand_members(heads, g, "entity", "url")

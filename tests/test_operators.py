@@ -192,7 +192,7 @@ def test_standardized_risks_append_and_grade(spark):
 def test_audit_counts_and_report(spark):
     from corvina.operators.reports import render
     from corvina.operators.tables import flag_audited
-    from corvina.plans.grids import _AUDIT, _AUDITED
+    from test_tables import _AUDIT, _AUDITED
 
     rows = spark.createDataFrame(_AUDIT, "ord int, probability string, impact string, treatment string")
     out, counts = flag_audited(rows.selectExpr("*", "false AS needs_review", "'antes' AS review_reason", "'high' AS confidence"), _AUDITED, "ord")
