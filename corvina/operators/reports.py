@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvina.functions.numbers import ratio
-from corvina.functions.vocabularies import IMPACT, PROBABILITY, TREATMENT
+from corvina.functions.vocabularies import AXES, IMPACT, PROBABILITY, TREATMENT
 from corvina.operators import review
 from corvina.operators.analytics import top_k, value_counts
+from corvina.sources.shared import kept
 
 EXPORT = ("owner", "entry_type", "field", "original_value", "current_value", "axis_original", "axis_value", "confidence", "review_reason", "service", "table_kind")
 #: The upper levels of both scales, and those that make a risk critical.
@@ -54,9 +55,19 @@ def queue_breakdown(queue: DataFrame, owners: int = 10) -> DataFrame:
     return some.unionByName(top_k(queue, "owner", owners).select(F.lit("owner").alias("by"), F.col("owner").cast("string").alias("value"), "n"))
 
 
+def field_rows(df: DataFrame, fields: Sequence[str], *, context: str, owner: str = "owner", order: str = "ord") -> DataFrame:
+    """(field, original, owner, ord, context, score, method, match): one row per row and standardised field, from one scan."""
+    one = [F.struct(F.lit(f).alias("field"), F.col(f).alias("original"), F.col(f"{f}_score").alias("score"), F.col(f"{f}_method").alias("method"), F.col(f"{f}_value").alias("match")) for f in fields]
+    rows = df.select(F.col(owner).alias("owner"), F.col(order).alias("ord"), F.col(context).alias("context"), F.explode(F.array(*one)).alias("x"))
+    return rows.select("x.field", "x.original", "owner", "ord", "context", "x.score", "x.method", "x.match")
+
+
 def field_buckets(rows: DataFrame, methods: Sequence[str]) -> DataFrame:
-    """Buckets of doubtful values of all fields, matched by one of ``methods``: the greatest impact first, then count, field and text."""
-    out = review.buckets(rows.where(F.col("method").isin(*methods)))
+    """Buckets of doubtful values of all fields, matched by one of ``methods``: the greatest impact first, then count, field and text.
+
+    The doubtful rows, few among all, are kept, so that what they come from is computed once.
+    """
+    out = review.buckets(kept(rows.where(F.col("method").isin(*methods))))
     return out.orderBy(F.desc("impact"), F.desc("n"), "field", "original")
 
 
@@ -136,18 +147,70 @@ def summary(deliveries: DataFrame, risks: DataFrame) -> DataFrame:
 
     The distributions count every level of the two scales, every treatment, and the axes; the five most frequent products stand in order.
     """
-    by_owner = value_counts(deliveries, "owner")
-    per = by_owner.agg(F.sum("n").alias("deliveries"), F.count("*").alias("delivery_owners"), F.round(F.avg("n"), 1).alias("mean"), F.floor(F.median("n")).cast("long").alias("median"))
     canonical = _canonical(PROBABILITY, "probability_value") & _canonical(IMPACT, "impact_value")
     levels = {f"{name}_{k}": (f"{name}_value", level) for name, scale in (("p", PROBABILITY), ("i", IMPACT), ("t", TREATMENT)) for k, level in enumerate(scale)}
     column = {"p_value": "probability_value", "i_value": "impact_value", "t_value": "treatment_value"}
     counts = risks.agg(F.count("*").alias("risks"), F.count_distinct("owner").alias("risk_owners"), F.count_if(canonical).alias("canonical_risks"), *[F.count_if(F.col(column[c]) == level).alias(n) for n, (c, level) in levels.items()])
     shape = lambda name, scale: F.to_json(F.struct(*[F.col(f"{name}_{k}").alias(level) for k, level in enumerate(scale)]))
     counts = counts.select("risks", "risk_owners", "canonical_risks", shape("p", PROBABILITY).alias("probability"), shape("i", IMPACT).alias("impact"), shape("t", TREATMENT).alias("treatment"))
-    axes = value_counts(deliveries, "axis_value").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("axis_value", "n"))))).alias("axes"))
-    top = top_k(deliveries, "product_value", 5).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "product_value"))), lambda x: x["product_value"]), "; ").alias("top_products"))
-    one = lambda df: df.withColumn("__one", F.lit(1))
-    return one(per).join(one(counts), "__one").join(one(axes), "__one").join(one(top), "__one").drop("__one")  # a row each
+    by = review.summaries(deliveries, "owner", "axis_value", "product_value")
+    of = lambda name, c="n": F.when(F.col("by") == name, F.col(c))
+    listed = lambda name, x: F.array_sort(F.collect_list(F.when((F.col("by") == name) & F.col("value").isNotNull(), x)))
+    top = F.slice(F.transform(listed("product_value", F.struct((-F.col("n")).alias("m"), "value")), lambda x: x["value"]), 1, 5)
+    per = by.agg(
+        F.coalesce(F.sum(of("owner")), F.lit(0)).alias("deliveries"), F.count_if(F.col("by") == "owner").alias("delivery_owners"), F.round(F.avg(of("owner")), 1).alias("mean"), F.floor(F.median(of("owner"))).cast("long").alias("median"),
+        F.to_json(F.map_from_entries(listed("axis_value", F.struct("value", "n")))).alias("axes"), F.array_join(top, "; ").alias("top_products"),
+    )
+    return per.withColumn("__one", F.lit(1)).join(counts.withColumn("__one", F.lit(1)), "__one").drop("__one")  # a row each
+
+
+#: Kinds of errors that say a document gave nothing, as its scan would.
+FAILED = ("no_risk_table", "no_data", "empty_table", "scan", "ocr_required")
+
+
+def statistics(deliveries: DataFrame, risks: DataFrame, bodies: DataFrame, errors: DataFrame, groups: DataFrame, run_date: str) -> DataFrame:
+    """One row with the eighteen figures of the public statistics, distributions as JSON objects.
+
+    ``bodies`` has owner, directive and delivery, the places of a body's two documents or null; ``errors`` has owner, document and
+    kind; ``groups`` (head, member) share what any of them has. Values off a list are left out of its distribution, and so are
+    axes and treatments that no row has. Each of the four tables is read once.
+    """
+    value = lambda c: F.coalesce(F.trim(F.col(c)), F.lit(""))
+    listed = lambda scale, of: F.to_json(F.map_filter(F.map_from_arrays(F.array(*map(F.lit, scale)), F.array(*[of(i) for i in range(len(scale))])), lambda k, n: n > 0))
+    whole = lambda scale, of: F.to_json(F.map_from_arrays(F.array(*map(F.lit, scale)), F.array(*[of(i) for i in range(len(scale))])))
+    d = kept(review.summaries(deliveries, "owner", "axis_value", "product_value"))
+    tests = {f"p{i}": F.col("probability_value") == v for i, v in enumerate(PROBABILITY)} | {f"i{i}": F.col("impact_value") == v for i, v in enumerate(IMPACT)}
+    parts = F.transform(F.split(value("treatment_value"), ";"), lambda x: F.trim(x))
+    sums = {f"t{i}": F.size(parts) - F.size(F.array_remove(parts, v)) for i, v in enumerate(TREATMENT)}
+    both = _canonical(PROBABILITY, "probability_value") & _canonical(IMPACT, "impact_value")
+    r = kept(risks.groupBy("owner").agg(F.count("*").alias("n"), F.count_if(both).alias("canonical"), *[F.count_if(t).alias(n) for n, t in tests.items()], *[F.sum(t).alias(n) for n, t in sums.items()]))
+
+    def holders(having: DataFrame) -> DataFrame:
+        """How many bodies have rows, a group's members all where one of them has."""
+        shared = groups.join(groups.join(having, F.col("member") == F.col("owner"), "left_semi").select("head").distinct(), "head").select(F.col("member").alias("owner"))
+        return having.unionByName(shared).agg(F.count_distinct("owner").alias("n"))
+
+    by = lambda name: F.col("by") == name
+    of = lambda name: F.when(by(name), F.col("n"))
+    filled = F.coalesce("value", F.lit("")) != ""
+    ranked = F.slice(F.array_sort(F.collect_list(F.when(by("product_value") & filled, F.struct((-F.col("n")).alias("m"), "value")))), 1, 5)
+    axis = lambda i: F.coalesce(F.sum(F.when(by("axis_value") & (F.col("value") == AXES[i]), F.col("n"))), F.lit(0))
+    one = d.agg(
+        F.coalesce(F.sum(of("owner")), F.lit(0)).alias("entregas_total"), F.to_json(F.map_from_entries(F.transform(ranked, lambda x: F.struct(x["value"], -x["m"])))).alias("top5_produtos"), listed(AXES, axis).alias("entregas_por_eixo"),
+        F.coalesce(F.round(F.avg(of("owner")), 1), F.lit(0.0)).alias("media_entregas_por_orgao"), F.coalesce(F.floor(F.median(of("owner"))).cast("long"), F.lit(0)).alias("mediana_entregas_por_orgao"),
+    )
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).cast("long")
+    risk = r.agg(
+        total("n").alias("riscos_total"), total("canonical").alias("riscos_canonicos"), whole(PROBABILITY, lambda i: total(f"p{i}")).alias("distribuicao_probabilidade"),
+        whole(IMPACT, lambda i: total(f"i{i}")).alias("distribuicao_impacto"), listed(TREATMENT, lambda i: total(f"t{i}")).alias("distribuicao_tratamento"),
+    )
+    body = bodies.agg(F.count("*").alias("orgaos_total"), F.count("directive").alias("pdfs_diretivo"), F.count("delivery").alias("pdfs_entregas")).withColumn("pdfs_total", F.col("pdfs_diretivo") + F.col("pdfs_entregas"))
+    failed = errors.where(F.col("kind").isin(*FAILED)).agg(F.count_distinct(F.struct("owner", "document")).alias("pdfs_escaneados_pendentes"))
+    with_d, with_r = holders(d.where(by("owner")).select(F.col("value").alias("owner"))), holders(r.select(F.col("owner").cast("string").alias("owner")))
+    out = one.select(F.lit(run_date).alias("data_execucao"), "*")
+    for more in (risk, body, failed, with_d.withColumnRenamed("n", "entregas_orgaos"), with_r.withColumnRenamed("n", "riscos_orgaos")):
+        out = out.withColumn("__one", F.lit(1)).join(more.withColumn("__one", F.lit(1)), "__one").drop("__one")  # a row each
+    return out
 
 
 def render(title: str, sections: Sequence[tuple[str, Mapping[str, object]]]) -> str:

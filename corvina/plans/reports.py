@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvina.functions.vocabularies import IMPACT, PROBABILITY, PRODUCT, TREATMENT
+from corvina.functions.vocabularies import AXES, IMPACT, PROBABILITY, PRODUCT, TREATMENT
 from corvina.operators import reports, standardize
 from corvina.operators.canonical import match_values
 from corvina.plans.catalog import query, table
@@ -75,12 +75,9 @@ SELECT field, original, count(*) AS n, string_agg(DISTINCT owner, ',' ORDER BY o
 FROM f JOIN x USING (field, original) GROUP BY field, original, x.examples""")
 def field_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Doubtful values of all five fields in one list, the weightiest first."""
-    tables = {"d": deliveries(spark, sf_dir), "r": risks(spark, sf_dir)}
-    rows = None
-    for t, f, context in _FIVE:
-        one = tables[t].select(F.lit(f).alias("field"), F.col(f).alias("original"), "owner", "ord", F.col(context).alias("context"), F.col(f"{f}_score").alias("score"), F.col(f"{f}_method").alias("method"), F.col(f"{f}_value").alias("match"))
-        rows = one if rows is None else rows.unionByName(one)
-    return reports.field_buckets(rows, ("fuzzy_low", "unmatched"))
+    d = reports.field_rows(deliveries(spark, sf_dir), ("product", "axis"), context="service")
+    r = reports.field_rows(risks(spark, sf_dir), ("probability", "impact", "treatment"), context="risk")
+    return reports.field_buckets(d.unionByName(r), ("fuzzy_low", "unmatched"))
 
 
 @query("ascending_top", "SELECT p_type, count(*) AS n FROM part GROUP BY p_type ORDER BY n DESC, p_type LIMIT 3")
@@ -159,3 +156,31 @@ SELECT (SELECT CAST(sum(n) AS BIGINT) FROM o) AS deliveries, (SELECT count(*) FR
 def statistics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, owners and distributions of both tables in one row."""
     return reports.summary(deliveries(spark, sf_dir), risks(spark, sf_dir))
+
+
+_BODIES = "bodies AS (SELECT s_name, 'c' || (s_suppkey % 50) AS owner, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS directive, CASE WHEN s_acctbal > 5000 THEN s_name END AS delivery FROM supplier)"
+
+
+@query("public_statistics", BOTH + f""", {_BODIES},
+e AS (SELECT 'c' || (s_suppkey % 50) AS owner, CASE WHEN s_suppkey % 2 = 0 THEN 'directive' ELSE 'delivery' END AS document, CASE s_nationkey % 3 WHEN 0 THEN 'no_data' WHEN 1 THEN 'scan' ELSE 'timeout' END AS kind FROM supplier),
+g AS (SELECT 'c' || (n_nationkey % 5) AS head, 'c' || n_nationkey AS member FROM nation UNION ALL SELECT DISTINCT 'Brand#11', p_brand FROM part WHERE p_brand LIKE 'Brand#1_'),
+o AS (SELECT owner, count(*) AS n FROM d GROUP BY owner),
+dh AS (SELECT owner FROM o UNION SELECT g.member FROM g WHERE head IN (SELECT head FROM g JOIN o ON o.owner = g.member)),
+ro AS (SELECT DISTINCT owner FROM r), rh AS (SELECT owner FROM ro UNION SELECT g.member FROM g WHERE head IN (SELECT head FROM g JOIN ro ON ro.owner = g.member))
+SELECT '2026-05-12' AS data_execucao, (SELECT count(*) FROM bodies) AS orgaos_total, (SELECT count(*) FROM d) AS entregas_total, (SELECT count(*) FROM dh) AS entregas_orgaos, (SELECT count(*) FROM r) AS riscos_total, (SELECT count(*) FROM rh) AS riscos_orgaos,
+  (SELECT count(*) FROM r WHERE {_ON_SCALE}) AS riscos_canonicos, (SELECT count(directive) FROM bodies) AS pdfs_diretivo, (SELECT count(delivery) FROM bodies) AS pdfs_entregas, (SELECT count(directive) + count(delivery) FROM bodies) AS pdfs_total,
+  (SELECT count(DISTINCT owner || '/' || document) FROM e WHERE kind <> 'timeout') AS pdfs_escaneados_pendentes,
+  (SELECT '{{' || string_agg('"' || product_value || '":' || n, ',' ORDER BY n DESC, product_value) || '}}' FROM (SELECT product_value, count(*) AS n FROM d GROUP BY 1 ORDER BY n DESC, 1 LIMIT 5)) AS top5_produtos,
+  (SELECT '{{' || string_agg('"' || name || '":' || n, ',' ORDER BY i) || '}}' FROM (SELECT name, i, count(*) AS n FROM d JOIN (VALUES {", ".join(f"({i}, {_text(a)})" for i, a in enumerate(AXES))}) v(i, name) ON axis_value = name GROUP BY ALL)) AS entregas_por_eixo,
+  (SELECT {_shape('probability_value', PROBABILITY)} FROM r) AS distribuicao_probabilidade, (SELECT {_shape('impact_value', IMPACT)} FROM r) AS distribuicao_impacto,
+  (SELECT '{{' || string_agg('"' || t || '":' || n, ',' ORDER BY i) || '}}' FROM (SELECT t, i, count(*) AS n FROM (SELECT trim(unnest(string_split(treatment_value, ';'))) AS part FROM r) JOIN (VALUES {", ".join(f"({i}, {_text(t)})" for i, t in enumerate(TREATMENT))}) v(i, t) ON part = t GROUP BY ALL)) AS distribuicao_tratamento,
+  (SELECT round(avg(n), 1) FROM o) AS media_entregas_por_orgao, (SELECT CAST(floor(median(n)) AS BIGINT) FROM o) AS mediana_entregas_por_orgao""")
+def public_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of the public statistics in one row: bodies from suppliers, groups from nations and brands."""
+    s, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    owner = F.concat(F.lit("c"), k % 50)
+    bodies = s.select(owner.alias("owner"), F.when(k % 3 > 0, F.col("s_name")).alias("directive"), F.when(F.col("s_acctbal") > 5000, F.col("s_name")).alias("delivery"))
+    errors = s.select(owner.alias("owner"), F.when(k % 2 == 0, "directive").otherwise("delivery").alias("document"), F.when(F.col("s_nationkey") % 3 == 0, "no_data").when(F.col("s_nationkey") % 3 == 1, "scan").otherwise("timeout").alias("kind"))
+    nations = table(spark, sf_dir, "nation").select(F.concat(F.lit("c"), F.col("n_nationkey") % 5).alias("head"), F.concat(F.lit("c"), "n_nationkey").alias("member"))
+    brands = table(spark, sf_dir, "part").where(F.col("p_brand").rlike("^Brand#1.$")).select(F.lit("Brand#11").alias("head"), F.col("p_brand").alias("member")).distinct()
+    return reports.statistics(deliveries(spark, sf_dir), risks(spark, sf_dir), bodies, errors, nations.unionByName(brands), "2026-05-12")
