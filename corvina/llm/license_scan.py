@@ -160,9 +160,12 @@ class Scanner:
         joined = b" " + b" ".join(words) + b" "
         base, places = [], []
         for phrase, label in self.phrases:
-            needle, at = b" " + b" ".join(phrase) + b" ", -1
+            needle, at, last, word = b" " + b" ".join(phrase) + b" ", -1, 0, -1
             while (at := joined.find(needle, at + 1)) >= 0:
-                base.append((joined.count(b" ", 0, at + 1) - 1, len(phrase), label))
+                # Words are counted from the last place on, so a text is gone through once for each phrase.
+                word += joined.count(b" ", last, at + 1)
+                last = at + 1
+                base.append((word, len(phrase), label))
         heads = [w for w in self.starts if b" " + w + b" " in joined]
         if heads:
             held = set(heads)

@@ -116,19 +116,22 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 20, factor: float = 1
         kind = mine.schema["id"].dataType.simpleString()
         return mine.select(F.col("id").cast(kind).alias("query_id"), F.lit(1).alias("rank"), "id", F.lit(0.0).alias("score")).where("false")
     mine = mine.where(F.col("d") == top["d"]).drop("d")
-    stats = mine.agg(F.max(_product(F.col("v"), F.col("v"))).alias("m"), F.count_if("q").alias("q")).first()
+    # Distances are those of vectors divided by the largest component of all, so no square overflows; scores are of the vectors themselves.
+    unit = mine.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
+    small = F.transform("v", lambda x: x / unit)
+    stats = mine.agg(F.max(_product(small, small)).alias("m"), F.count_if("q").alias("q")).first()
     m2, n, n_queries = stats["m"], top["count"], stats["q"]
     shards, blocks = max(1, -(-n // shard)), max(1, -(-n_queries // block))
     same = Window.partitionBy("v").orderBy("id")
     held = mine.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1)
     h = F.xxhash64("id")
-    index = held.select(F.pmod(h, F.lit(shards)).alias("shard"), "id", "v").groupBy("shard").applyInArrow(_index(m2), "shard long, tree binary")
+    index = held.select(F.pmod(h, F.lit(shards)).alias("shard"), "id", "v").groupBy("shard").applyInArrow(_index(m2, unit), "shard long, tree binary")
     # Equal query vectors are searched once.
     asked = mine.where("q").groupBy("v").agg(F.min("id").alias("qid"))
     packed = asked.select(F.pmod(F.xxhash64("qid"), F.lit(blocks)).alias("block"), "qid", "v").groupBy("block").applyInArrow(_queries, "block long, queries binary")
     packed = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     kind = mine.schema["id"].dataType.simpleString()
-    hits = index.join(packed, "shard").repartition(max(1, min(shards * blocks, 4096)), "shard", "block").select("tree", "queries").mapInArrow(_search(k + 1, factor, m2), f"qid {kind}, id {kind}, score double")
+    hits = index.join(packed, "shard").repartition(max(1, min(shards * blocks, 4096)), "shard", "block").select("tree", "queries").mapInArrow(_search(k + 1, factor, m2, unit), f"qid {kind}, id {kind}, score double")
     near = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
     best = hits.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1).select("qid", "id", "score")
     who = mine.where("q").join(asked, "v").select("qid", F.col("id").alias("query_id"))
@@ -142,14 +145,19 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _index(m2: float):
+def _lifted(x: np.ndarray, m2: float, unit: float) -> np.ndarray:
+    """Vectors in units of the largest component, all of the length sqrt(m2) by one more component."""
+    x = x / unit
+    return np.c_[x, np.sqrt(np.maximum(m2 - (x**2).sum(1), 0))]
+
+
+def _index(m2: float, unit: float):
     def run(table: pa.Table) -> pa.Table:
         x = _matrix(table["v"])
         ids = table["id"].to_numpy()
         by = np.argsort(ids, kind="stable")
         x, ids = x[by], ids[by]
-        y = np.c_[x, np.sqrt(np.maximum(m2 - (x**2).sum(1), 0))]
-        tree = build_tree(y)
+        tree = build_tree(_lifted(x, m2, unit))
         return pa.table({"shard": pa.array([table["shard"][0].as_py()], pa.int64()), "tree": pa.array([_pack(ids=ids, x=x, **tree)], pa.binary())})
 
     return run
@@ -159,26 +167,27 @@ def _queries(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int64()), "queries": pa.array([_pack(ids=table["qid"].to_numpy(), x=_matrix(table["v"]))], pa.binary())})
 
 
-def _search(k: int, factor: float, m2: float):
+def _search(k: int, factor: float, m2: float, unit: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for tree, queries in zip(batch.column(0), batch.column(1)):
                 t, q = np.load(io.BytesIO(tree.as_py())), np.load(io.BytesIO(queries.as_py()))
                 ids, x, qx = t["ids"], t["x"], q["x"]
-                y = np.c_[x, np.sqrt(np.maximum(m2 - (x**2).sum(1), 0))]
+                y = _lifted(x, m2, unit)
                 slack = SLACK * np.sqrt(m2)
-                scale = np.sqrt((qx**2).sum(1))
                 # A query's length changes no order of its products: M brings it among the rows.
-                unit = np.c_[qx / scale[:, None] * np.sqrt(m2), np.zeros(len(qx))]
+                small = qx / np.abs(qx).max(1, keepdims=True)
+                ask = np.c_[small / np.sqrt((small**2).sum(1))[:, None] * np.sqrt(m2), np.zeros(len(qx))]
                 # More than k: rows within rounding of the k-th are settled by the exact product.
                 wide = min(k + 16, len(x))
-                best, rows = search_tree(y, {"order": t["order"], "nodes": t["nodes"]}, unit, wide, factor, slack)
+                best, rows = search_tree(y, {"order": t["order"], "nodes": t["nodes"]}, ask, wide, factor, slack)
                 best.sort(1)
                 unsure = best[:, -1] - best[:, min(k, wide) - 1] <= slack if wide < len(x) else np.zeros(len(qx), bool)
                 out: list[list[np.ndarray]] = [[], [], []]
                 for i in range(len(qx)):
                     at = np.arange(len(x)) if unsure[i] else rows[i][rows[i] >= 0]
-                    s = np.cumsum(x[at] * qx[i], 1)[:, -1]  # one product after the other, as SQL sums them
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        s = np.cumsum(x[at] * qx[i], 1)[:, -1]  # one product after the other, as SQL sums them
                     top = np.lexsort((ids[at], -s))[:k]
                     for column, value in zip(out, (np.repeat(q["ids"][i], len(top)), ids[at][top], s[top])):
                         column.append(value)

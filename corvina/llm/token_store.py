@@ -8,6 +8,7 @@ occurrences; a whole block decodes plane by plane.
 
 from __future__ import annotations
 
+import json
 import sys
 import types
 import uuid
@@ -55,7 +56,8 @@ class Encoder:
     A piece that ends in white space doesn't part there; a text with one is encoded as a whole.
 
     With ``literal``, a special token's wording in a text is ordinary letters; without, it gets the
-    token's id, the library's default. A text with an added token's wording is encoded as a whole.
+    token's id, the library's default. A text with an added token's wording is encoded as a whole,
+    and so is every text where the tokenizer normalises it or parts it by another rule.
     """
 
     def __init__(self, path: str, literal: bool = True):
@@ -65,13 +67,23 @@ class Encoder:
         self.tokenizer.encode_special_tokens = literal
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (literal and t.special)]
         self.top = max(self.tokenizer.get_vocab().values(), default=0)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.parted = self._parts_at_spaces(json.loads(self.tokenizer.to_str()))
         self.letters = _byte_letters()
         #: Known units by number, and by number where a unit's ids are in ``flat`` and how many. A unit is a run of letters, or
         #: any other piece, with a space before it, or, after a space as their sign, marks without one. Number 0 is no unit.
         self.known = pa.array([""], pa.string())
         self.flat, self.start, self.size = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
+    @staticmethod
+    def _parts_at_spaces(how: dict) -> bool:
+        """Whether a piece's ids depend on the piece alone: the texts are taken as they are, and parted by the byte-level pattern."""
+        before, model = how.get("pre_tokenizer") or {}, how.get("model") or {}
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        return how.get("normalizer") is None and plain and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+
     @classmethod
     def shared(cls, path: str, literal: bool = True) -> Encoder:
         """This worker's encoder: it outlives a task, so later tasks of a reused worker know its pieces."""
@@ -146,6 +158,9 @@ class Encoder:
         n = len(texts)
         if not n:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
+        if not self.parted:
+            own = self._ids(texts.to_pylist())
+            return np.concatenate(own), np.array([len(x) for x in own], np.int64)
         parts = pc.split_pattern(texts, " ")
         first = parts.offsets.to_numpy().astype(np.int64)
         count, first = np.diff(first), first[:-1] - first[0]
