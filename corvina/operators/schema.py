@@ -97,7 +97,12 @@ def nested_schema(table: Table, title: str) -> dict[str, Any]:
 
 
 def datapackage(name: str, title: str, tables: Sequence[Table], files: Mapping[str, Mapping[str, Any]], **more: Any) -> dict[str, Any]:
-    """A data package descriptor; ``files`` gives path, bytes and hash of each table's file."""
+    """A data package descriptor; ``files`` gives path, bytes and hash of each table's file.
+
+    ``more`` may hold license, version, keywords, themes and a date ``created``, which becomes a time at midnight UTC if it is a day.
+    """
+    if len(str(more.get("created", ""))) == 10:
+        more["created"] = f"{more['created']}T00:00:00Z"
     resources = []
     for t in tables:
         schema: dict[str, Any] = {"fields": [frictionless_field(f) for f in t.fields], "missingValues": [""]}
@@ -109,41 +114,73 @@ def datapackage(name: str, title: str, tables: Sequence[Table], files: Mapping[s
     return {"profile": "tabular-data-package", "name": name, "title": title, "resources": resources, **more}
 
 
-def schema_org(package: Mapping[str, Any], *, url: str, creators: Sequence[str] = (), modified: str | None = None) -> dict[str, Any]:
-    """A schema.org Dataset with a download for each resource."""
-    out = {"@context": "https://schema.org/", "@type": "Dataset", "name": package["title"], "description": package.get("description"), "url": url, "license": package.get("license"), "dateModified": modified, "creator": [{"@type": "Person", "name": n} for n in creators]}
-    out["distribution"] = [{"@type": "DataDownload", "name": r["title"], "encodingFormat": f"text/{r['format']}", "contentUrl": f"{url}/{r.get('path', r['name'])}"} for r in package["resources"]]
-    return {k: v for k, v in out.items() if v}
+def _checksum(resource: Mapping[str, Any]) -> str | None:
+    """The sha256 of a resource's file, where its descriptor has one."""
+    kind, _, value = str(resource.get("hash", "")).rpartition(":")
+    return value if value and kind in ("", "sha256") else None
 
 
-def dcat(package: Mapping[str, Any], *, url: str) -> dict[str, Any]:
-    """A DCAT dataset in JSON-LD."""
-    return {
-        "@context": {"dcat": "http://www.w3.org/ns/dcat#", "dct": "http://purl.org/dc/terms/"},
-        "@type": "dcat:Dataset",
-        "@id": url,
-        "dct:title": package["title"],
-        "dct:description": package.get("description", ""),
-        "dcat:keyword": list(package.get("keywords", ())),
-        "dcat:distribution": [{"@type": "dcat:Distribution", "dct:title": r["title"], "dcat:mediaType": f"text/{r['format']}", "dcat:downloadURL": f"{url}/{r.get('path', r['name'])}"} for r in package["resources"]],
-    }
+def _download(resource: Mapping[str, Any], url: str) -> str:
+    return f"{url}/{resource.get('path', resource['name'])}"
+
+
+def _media(resource: Mapping[str, Any]) -> str:
+    return {"csv": "text/csv", "json": "application/json"}.get(resource["format"], f"text/{resource['format']}")
 
 
-def prov(entity: str, activity: str, sources: Sequence[str], *, started: str, ended: str, agent: str) -> dict[str, Any]:
-    """Provenance: an entity made by an activity from sources on behalf of an agent."""
+def _full(value: dict[str, Any]) -> dict[str, Any]:
+    return {k: v for k, v in value.items() if v not in (None, "", [], {})}
+
+
+def schema_org(package: Mapping[str, Any], *, url: str, creators: Sequence[str | tuple[str, str]] = (), modified: str | None = None) -> dict[str, Any]:
+    """A schema.org Dataset with a download, checksum included, for each resource.
+
+    Of ``package`` it takes title, description, license, keywords, version, issued, language, publisher, status, source and themes
+    (pairs of address and label); ``creators`` are names or pairs of name and affiliation.
+    """
+    people = [c if isinstance(c, tuple) else (c, "") for c in creators]
+    out = {
+        "@context": "https://schema.org/", "@type": "Dataset", "name": package["title"], "description": package.get("description"), "url": url, "license": package.get("license"), "dateModified": modified,
+        "version": package.get("version"), "datePublished": package.get("issued"), "inLanguage": package.get("language"), "isAccessibleForFree": True, "keywords": list(package.get("keywords", ())),
+        "creator": [_full({"@type": "Person", "name": n, "affiliation": {"@type": "Organization", "name": a} if a else None}) for n, a in people],
+        "publisher": {"@type": "Organization", "name": package["publisher"]} if package.get("publisher") else None, "creativeWorkStatus": package.get("status"), "isBasedOn": package.get("source"),
+        "about": [{"@type": "Thing", "@id": uri, "name": label} for uri, label in package.get("themes", ())],
+        "distribution": [_full({"@type": "DataDownload", "name": r["title"], "encodingFormat": _media(r), "contentUrl": _download(r, url), "sha256": _checksum(r)}) for r in package["resources"]],
+    }
+    return _full(out)
+
+
+def dcat(package: Mapping[str, Any], *, url: str) -> dict[str, Any]:
+    """A DCAT dataset in JSON-LD; its distributions have licence and checksum. It takes the same keys of ``package`` as ``schema_org``."""
+    at = lambda uri: {"@id": uri} if uri else None
+    checksum = lambda r: {"@type": "spdx:Checksum", "spdx:algorithm": "spdx:checksumAlgorithm_sha256", "spdx:checksumValue": _checksum(r)} if _checksum(r) else None
+    one = lambda r: {"@type": "dcat:Distribution", "dct:title": r["title"], "dcat:mediaType": _media(r), "dct:format": r["format"].upper(), "dcat:downloadURL": _download(r, url), "dct:license": at(package.get("license")), "spdx:checksum": checksum(r)}
+    return _full({
+        "@context": {"dcat": "http://www.w3.org/ns/dcat#", "dct": "http://purl.org/dc/terms/", "foaf": "http://xmlns.com/foaf/0.1/", "spdx": "http://spdx.org/rdf/terms#", "skos": "http://www.w3.org/2004/02/skos/core#"},
+        "@type": "dcat:Dataset", "@id": url, "dct:title": package["title"], "dct:description": package.get("description", ""), "dct:issued": package.get("issued"), "dct:modified": package.get("modified"),
+        "dcat:version": package.get("version"), "dct:language": package.get("language"), "dct:license": at(package.get("license")), "dct:source": at(package.get("source")),
+        "dct:publisher": {"@type": "foaf:Organization", "foaf:name": package["publisher"]} if package.get("publisher") else None,
+        "dcat:theme": [{"@id": uri, "skos:prefLabel": label} for uri, label in package.get("themes", ())], "dcat:keyword": list(package.get("keywords", ())), "dcat:distribution": [_full(one(r)) for r in package["resources"]],
+    })
+
+
+def prov(entity: str, activity: str, sources: Sequence[str], *, started: str, ended: str, agent: str, parts: Sequence[str] = ()) -> dict[str, Any]:
+    """Provenance: an entity, and its ``parts`` such as files, made by an activity from sources on behalf of an agent."""
+    made = [entity, *parts]
     return {
-        "entity": {entity: {"prov:type": "dataset"}, **{s: {"prov:type": "source"} for s in sources}},
+        "entity": {**{e: {"prov:type": "dataset"} for e in made}, **{s: {"prov:type": "source"} for s in sources}},
         "activity": {activity: {"prov:startTime": started, "prov:endTime": ended}},
         "agent": {agent: {}},
-        "wasGeneratedBy": {f"_:g{i}": {"prov:entity": entity, "prov:activity": activity} for i in range(1)},
+        "wasGeneratedBy": {f"_:g{i}": {"prov:entity": e, "prov:activity": activity} for i, e in enumerate(made)},
         "used": {f"_:u{i}": {"prov:activity": activity, "prov:entity": s} for i, s in enumerate(sources)},
         "wasAssociatedWith": {"_:a0": {"prov:activity": activity, "prov:agent": agent}},
     }
 
 
-def ckan(package: Mapping[str, Any], *, url: str, owner: str) -> dict[str, Any]:
-    """A CKAN package."""
-    return {"name": package["name"], "title": package["title"], "owner_org": owner, "notes": package.get("description", ""), "tags": [{"name": k} for k in package.get("keywords", ())], "resources": [{"name": r["title"], "url": f"{url}/{r.get('path', r['name'])}", "format": r["format"].upper(), "hash": r.get("hash", "")} for r in package["resources"]]}
+def ckan(package: Mapping[str, Any], *, url: str, owner: str, license_id: str | None = None) -> dict[str, Any]:
+    """A CKAN package; resources have format, size and hash where the package knows them."""
+    one = lambda r: _full({"name": r["name"], "title": r["title"], "url": _download(r, url), "format": r["format"].upper(), "mimetype": _media(r), "size": r.get("bytes"), "hash": _checksum(r)})
+    return _full({"name": package["name"], "title": package["title"], "owner_org": owner, "notes": package.get("description", ""), "version": package.get("version"), "license_id": license_id, "tags": [{"name": k} for k in package.get("keywords", ())], "resources": [one(r) for r in package["resources"]]})
 
 
 def skos(scheme: str, title: str, terms: Sequence[str], alternatives: Mapping[str, Sequence[str]] | None = None, *, ordinal: bool = False) -> dict[str, Any]:
