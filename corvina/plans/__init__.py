@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ("scalars", "analytics", "relations", "grids", "standard", "reports")
+MODULES: tuple[str, ...] = ("scalars", "analytics", "relations", "grids", "standard", "reports", "pages")
 
 
 def load() -> None:
