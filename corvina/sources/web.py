@@ -1,4 +1,4 @@
-"""Fetching from the web: a Python data source with one partition for each address.
+"""Fetching from the web: each distinct address once, in Python tasks.
 
 Requests wait, retry after 503 and failures with growing pauses, and give a row with an error
 instead of stopping the scan. The fetcher is a parameter, so tests need no network.
@@ -65,3 +65,16 @@ def download(urls: DataFrame, url: str = "url", *, rule: Landing = Landing(), ge
 
     schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("content", T.BinaryType()), T.StructField("status", T.StringType())])
     return urls.where(F.col(url).isNotNull()).select(url).distinct().mapInPandas(run, schema)
+
+
+def with_files(documents: DataFrame, landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents with the status of their address, errors) of documents (owner, document, url) and what ``download`` gave.
+
+    Documents that share an address share its file. errors has one row (owner, document, stage, kind, message) for each document
+    whose address failed, is no file of the type, is small, or is missing from ``landed``; a document without an address has
+    status absent and no error.
+    """
+    known = landed.select(F.col("url").alias("__u"), F.col("status").alias("__s"))
+    out = documents.join(known, F.col("url") == F.col("__u"), "left").withColumn("status", F.when(F.col("url").isNull(), "absent").otherwise(F.coalesce("__s", F.lit("missing")))).drop("__u", "__s")
+    wrong = out.where(~F.col("status").isin("ok", "absent"))
+    return out, wrong.select("owner", "document", F.lit("download").alias("stage"), F.col("status").alias("kind"), F.concat(F.lit("download of "), "url", F.lit(": "), "status").alias("message"))
