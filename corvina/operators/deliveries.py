@@ -15,7 +15,7 @@ from corvina.functions.text import is_literal, let, norm_text
 from corvina.functions.vocabularies import AXIS, PRODUCT, PRODUCT_AXIS, Vocabulary
 from corvina.operators.canonical import match_fields
 from corvina.operators.tables import DELIVERY_LITERALS, column_role, delivery_status, is_other
-from corvina.sources.shared import kept
+from corvina.sources.shared import kept, sized
 
 # Roles of columns, texts that stand for nothing in them, reasons for review, and the places of a table without names.
 ROLES = ("servico", "produto", "eixo", "data_pactuada", "data_entrega", "pactuado", "justificativa", "status")
@@ -32,7 +32,7 @@ KEY = ("doc", "page", "tbl")
 
 
 def _matched_cells(grid: DataFrame, products: Vocabulary, axes: Vocabulary) -> DataFrame:
-    """(doc, page, tbl, row, cells): every row with each cell's text, product, score, shown, other and axis; row -1 is the header."""
+    """(doc, page, tbl, row, cells): every row with each cell's text, product, score, shown, other, axis and, in the first two, role and name; row -1 is the header."""
     every = F.concat(F.array(F.struct(F.lit(-1).alias("row"), F.col("header").alias("c"))), F.transform("rows", lambda r, i: F.struct(i.cast("int").alias("row"), r.alias("c"))))
     rows = grid.select(*KEY, F.inline(every))
     each = rows.select(*KEY, "row", F.posexplode("c").alias("col", "raw")).withColumn("raw", F.coalesce("raw", F.lit("")))
@@ -41,8 +41,9 @@ def _matched_cells(grid: DataFrame, products: Vocabulary, axes: Vocabulary) -> D
     p = lambda c: F.max(F.when(F.col("field") == "product", F.col(c)))
     a = F.max(F.when((F.col("field") == "axis") & (F.col("score") >= NAMES_AXIS), F.col("match")))
     found = found.groupBy(F.col("raw").alias("text")).agg(p("match").alias("product"), p("score").alias("score"), p("shown").alias("shown"), a.alias("axis"))
-    found = found.select("text", norm_text(F.col("text")).alias("clean"), "product", "score", "shown", is_other(F.col("text")).alias("other"), is_literal(F.col("text"), DELIVERY_LITERALS).alias("literal"), "axis")
-    cell = F.struct("col", F.col("clean").alias("text"), "product", "score", "shown", "other", "literal", "axis")
+    found = found.select("text", norm_text(F.col("text")).alias("clean"), "product", "score", "shown", is_other(F.col("text")).alias("other"), is_literal(F.col("text"), DELIVERY_LITERALS).alias("literal"), "axis", column_role(F.col("text")).alias("role"))
+    found = sized(kept(found))
+    cell = F.struct("col", F.col("clean").alias("text"), "product", "score", "shown", "other", "literal", "axis", F.when(F.col("row") <= 0, F.col("role")).alias("role"), F.when(F.col("row") < 0, F.col("raw")).alias("name"))
     return each.join(found, F.col("raw") == F.col("text")).groupBy(*KEY, "row").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
 
 
@@ -50,7 +51,7 @@ def _names(cell: Column) -> Column:
     return (cell["score"] >= NAMES) | cell["other"]
 
 
-def _plans(grid: DataFrame, rows: DataFrame) -> DataFrame:
+def _plans(rows: DataFrame) -> DataFrame:
     """How each table is read: (doc, page, tbl, at, skip, lift, roles), tables that nothing explains left out.
 
     A table is read by its own column names if they tell the product, or the service and one more. Else by those of the last such
@@ -61,12 +62,10 @@ def _plans(grid: DataFrame, rows: DataFrame) -> DataFrame:
     """
     hit = F.min(F.when(F.col("row") >= 0, F.get(F.transform(F.filter("cells", _names), lambda c: F.struct(F.col("row"), c["col"].alias("col"))), F.lit(0)))).alias("hit")
     data = lambda row, name: F.coalesce(F.bool_or(F.when(F.col("row") == row, F.exists("cells", _names))), F.lit(False)).alias(name)
-    hits = rows.groupBy(*KEY).agg(hit, data(-1, "data_header"), data(0, "data_first"))
-    key = F.struct(*KEY)
-    roles = lambda cells: F.transform(cells, lambda c: column_role(F.coalesce(c, F.lit(""))))
-    g = grid.select(*KEY, "header", roles(F.col("header")).alias("own"), roles(F.get("rows", F.lit(0))).alias("below"), key.alias("k"))
-    g = g.join(hits.select(key.alias("k"), "hit", "data_header", "data_first"), "k")
-    names = F.transform("header", lambda h: F.coalesce(h, F.lit("")))
+    of_row = lambda row, field, name: F.coalesce(F.any_value(F.when(F.col("row") == row, F.col(f"cells.{field}")), ignoreNulls=True), F.array().cast("array<string>")).alias(name)
+    g = rows.groupBy(*KEY).agg(hit, data(-1, "data_header"), data(0, "data_first"), of_row(-1, "name", "names"), of_row(-1, "role", "own"), of_row(0, "role", "below"))
+    g = g.withColumn("k", F.struct(*KEY))
+    names = F.col("names")
     # A role's column is known by its place and by its name, since later tables are looked up by name.
     column = lambda place: F.struct(place.cast("int").alias("place"), F.get(names, place.cast("int")).alias("name"))
     of = lambda found, r: F.when(F.array_position(found, r) > 0, column(F.array_position(found, r) - 1))
@@ -74,7 +73,7 @@ def _plans(grid: DataFrame, rows: DataFrame) -> DataFrame:
     has = lambda found, r: F.array_contains(F.transform(found, lambda x: F.coalesce(x, F.lit(""))), r)
     n = F.size(F.array_distinct(F.array_compact("own")))
     named = (has("own", "produto") | (has("own", "servico") & (n >= 2))) & ~F.col("data_header")
-    col, width = F.col("hit.col"), F.size("header")
+    col, width = F.col("hit.col"), F.size("names")
     by_value = F.struct(*[F.when({"produto": F.lit(True), "servico": col > 0, "eixo": col + 1 < width}.get(r, F.lit(False)), column({"servico": col - 1, "eixo": col + 1}.get(r, col))).alias(r) for r in ROLES])
     below = (F.size(F.array_compact("below")) > 0) & ~F.col("data_first")
     g = g.withColumn("named", named).withColumn("explains", F.col("named") | below | F.col("hit").isNotNull())
@@ -104,8 +103,9 @@ def catalogue_deliveries(grid: DataFrame, products: Vocabulary = PRODUCT, axes:
     """
     g = grid.where((F.size("header") >= 3) & (F.size("rows") > 0)).select(*KEY, "header", "rows")
     rows = kept(_matched_cells(g, products, axes))
-    plans = _plans(g, rows)
-    r = rows.withColumn("k", F.struct(*KEY)).join(plans, "k").drop("k")
+    plans = _plans(rows)
+    # A table is small in its file and large once unpacked: its rows meet by exchange, never by a broadcast.
+    r = rows.withColumn("k", F.struct(*KEY)).join(plans.hint("merge"), "k").drop("k")
     r = r.where((F.col("row") >= F.when(F.col("skip"), 1).otherwise(0)) | ((F.col("row") == -1) & F.col("lift")))
     nothing = lambda c, also=(): let(F.coalesce(c["text"], F.lit("")), lambda t: F.when(F.lower(t).isin(*NOTHING, *also), "").otherwise(t))
     cell = lambda role: F.get("cells", F.col(f"at.{role}"))

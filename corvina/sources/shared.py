@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a kept table that a join may broadcast; a larger one is joined by exchange.
 BROADCAST_ROWS = 100_000
+#: Bytes of such a table, written as text, that a join may broadcast.
+BROADCAST_BYTES = 8 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,3 +35,13 @@ def kept(df: DataFrame) -> DataFrame:
 def near(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """A kept table marked for broadcast if it has no more than ``most`` rows; else as it is."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def sized(df: DataFrame, most: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A kept table marked for broadcast where its rows and bytes are few, else for a join by exchange.
+
+    Either way the other side is never broadcast. Spark estimates it by the size of its files, which says nothing of rows that
+    arrays are unpacked to.
+    """
+    rows, held = df.agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return F.broadcast(df) if rows <= most and (held or 0) <= size else df.hint("merge")

@@ -1,6 +1,9 @@
 """Deliveries by names, by a first row of names, by values; headers that are deliveries; what is left out."""
 
+from pyspark.sql import functions as F
+
 from corvina.operators.deliveries import catalogue_deliveries
+from corvina.sources.shared import sized
 
 GRID = "doc string, page int, tbl int, header array<string>, rows array<array<string>>"
 LOGIN, LGPD, EVOLVED = "Integração ao Login Único", "Adequação à LGPD", "Evolução do Serviço"
@@ -62,3 +65,14 @@ def test_awkward_tables(spark):
     got = read(spark, (None, 1, 0, ["Serviço", "Produto", None], [[None, None, None], ["s"], ["s", "Integração ao Login Único", None, "more"], []]), ("e", 1, 0, ["Serviço", "Produto", "Eixo"], []), ("n", 1, 0, None, None))
     assert {k: r["product"] for k, r in got.items()} == {(None, 1, 2): LOGIN}
     assert not read(spark, ("n", 1, 0, [], []))
+
+
+def test_large_sides_are_never_broadcast(spark):
+    """However small Spark takes the tables' files for, no join of unpacked rows broadcasts them."""
+    names = ["Serviço", "Produto", "Prazo"]
+    got = catalogue_deliveries(spark.createDataFrame([("d", 1, 0, names, [["Portal", LOGIN, "12/2025"]])], GRID))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString() and got.count() == 1
+    few, many = (spark.range(n).select(F.col("id").cast("string").alias("k")) for n in (10, 50))
+    assert {sized(few, most).join(sized(many, most), "k").count() for most in (0, 20, 100)} == {10}
+    plan = lambda df: spark.range(3).select(F.col("id").cast("string").alias("k")).join(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan(sized(few, 20)) and "Broadcast" not in plan(sized(many, 20)) and "Broadcast" not in plan(sized(few, 20, 5))
