@@ -14,7 +14,8 @@ from corvina.functions.dates import parse_date
 from corvina.functions import text as X
 from corvina.functions.text import header_key, is_fragment, is_literal, let, norm_text, squeeze, strip_accents
 from corvina.functions.vocabularies import PRODUCT_AXIS, Vocabulary
-from corvina.operators.canonical import best_ratio, match_values
+from corvina.operators.canonical import best_ratio, match_fields, match_values
+from corvina.sources.shared import kept, sized
 
 # The words by which the tables of such documents are told apart.
 RISK_WORDS = ("risco", "probabilidade", "impacto", "tratamento", "ocorrer")
@@ -98,10 +99,15 @@ def is_subheader(cells: Column) -> Column:
     return contains_any(strip_accents(F.lower(F.array_join(cells, " ", ""))), SUBHEADERS)
 
 
+def has_orphan_header() -> Column:
+    """Whether the header is of a risk table's width and generic."""
+    generic = F.size(F.filter(_cells(F.col("header")), lambda h: (h.startswith("col") & (F.length(h) <= 5)) | contains_any(h, GENERIC_HEADERS)))
+    return F.size(F.col("header")).between(4, 8) & (generic >= F.greatest(F.lit(2), F.floor(F.size(F.col("header")) / 2)))
+
+
 def is_orphan() -> Column:
     """Risk data under generic headers, without a table that introduced it."""
-    generic = F.size(F.filter(_cells(F.col("header")), lambda h: (h.startswith("col") & (F.length(h) <= 5)) | contains_any(h, GENERIC_HEADERS)))
-    return F.size(F.col("header")).between(4, 8) & has_risk_data() & (generic >= F.greatest(F.lit(2), F.floor(F.size(F.col("header")) / 2)))
+    return has_orphan_header() & has_risk_data()
 
 
 def column_role(c: Column) -> Column:
@@ -211,13 +217,15 @@ def carry_tables(grid: DataFrame) -> DataFrame:
     """
     by = Window.partitionBy("doc").orderBy("page", "tbl")
     before = by.rowsBetween(Window.unboundedPreceding, -1)
-    g = grid.withColumn("__h", directive_kind() == "risk_table").withColumn("__d", ~F.col("__h") & header_is_data()).withColumn("__o", ~F.col("__h") & ~F.col("__d") & is_orphan())
+    g = grid.withColumn("__h", directive_kind() == "risk_table").withColumn("__d", ~F.col("__h") & header_is_data())
+    # Below the window the words of a table are looked up once, however often ``how`` is asked for above it.
+    g = g.withColumn("__r", ~F.col("__h") & ~F.col("__d") & has_risk_data()).withColumn("__o", F.col("__r") & has_orphan_header())
     sets = F.when((F.size(F.col("header")) >= 4) & (F.col("__h") | F.col("__d") | F.col("__o")), F.size(F.col("header")))
     g = g.withColumn("__n", F.last(sets, ignorenulls=True).over(before))
-    goes_on = (F.col("__n") == F.size(F.col("header"))) & has_risk_data()
+    goes_on = (F.col("__n") == F.size(F.col("header"))) & F.col("__r")
     how = F.when(F.size(F.col("header")) < 4, None).when(F.col("__h"), "header").when(F.col("__d"), "data_header").when(goes_on, "continuation").when(F.col("__o"), "orphan")
     g = g.withColumn("how", how).withColumn("carried_header", F.last(F.when(F.col("how") == "header", F.col("header")), ignorenulls=True).over(by))
-    return g.drop("__h", "__d", "__o", "__n")
+    return g.drop("__h", "__d", "__r", "__o", "__n")
 
 
 def risk_rows(grid: DataFrame) -> DataFrame:
@@ -248,8 +256,12 @@ def risk_rows(grid: DataFrame) -> DataFrame:
 
 def swap_columns(df: DataFrame, a: str, b: str, va: Vocabulary, vb: Vocabulary) -> DataFrame:
     """``df`` with two columns exchanged where both fit badly in place and well crossed, and a flag ``swapped``."""
+    # The rows may be dear to compute, and are read twice.
+    df = kept(df)
     texts = df.select(F.explode(F.array(a, b)).alias("t")).distinct()
-    fits = match_values(texts, "t", va).select("t", F.col("score").alias("sa")).join(match_values(texts, "t", vb).select("t", F.col("score").alias("sb")), "t")
+    each = texts.select("t", F.explode(F.array(F.lit("sa"), F.lit("sb"))).alias("field"))
+    score = lambda f: F.max(F.when(F.col("field") == f, F.col("score"))).alias(f)
+    fits = sized(kept(match_fields(each, "t", {"sa": va, "sb": vb}).groupBy("t").agg(score("sa"), score("sb"))))
     out = df
     for col in (a, b):
         out = out.join(fits.toDF("__t", f"__{col}_{va.name}", f"__{col}_{vb.name}"), F.col(col).eqNullSafe(F.col("__t")), "left").drop("__t")

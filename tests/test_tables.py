@@ -141,3 +141,18 @@ def text_line_deliveries(spark, sf_dir):
 def test_case(spark, name):
     (want, columns), f = CASES[name]
     assert sorted(map(repr, (tuple(r[c] for c in columns) for r in f(spark, None).collect()))) == sorted(map(repr, map(tuple, want)))
+
+
+def test_swap_computes_its_rows_once(spark):
+    """Rows that are dear to compute are kept, not computed for every use; null and blank cells are never exchanged."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def dear(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([("alto", "raro"), ("raro", "alto"), (None, "raro"), ("alto", "")], "p string, i string").coalesce(1).withColumn("p", dear("p"))
+    got = [(r["p"], r["i"], r["swapped"]) for r in R.swap_columns(rows, "p", "i", PROBABILITY_SCALE, IMPACT_SCALE).collect()]
+    assert sorted(got, key=repr) == sorted([("raro", "alto", True), ("raro", "alto", False), (None, "raro", False), ("alto", "", False)], key=repr)
+    assert seen.value == 4
