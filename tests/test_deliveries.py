@@ -67,10 +67,11 @@ def test_awkward_tables(spark):
     assert not read(spark, ("n", 1, 0, [], []))
 
 
-def test_large_sides_are_never_broadcast(spark):
+def test_large_sides_are_never_broadcast(spark, tmp_path):
     """However small Spark takes the tables' files for, no join of unpacked rows broadcasts them."""
     names = ["Serviço", "Produto", "Prazo"]
-    got = catalogue_deliveries(spark.createDataFrame([("d", 1, 0, names, [["Portal", LOGIN, "12/2025"]])], GRID))
+    spark.createDataFrame([("d", 1, 0, names, [["Portal", LOGIN, "12/2025"]])], GRID).write.parquet(f"{tmp_path}/grid")
+    got = catalogue_deliveries(spark.read.parquet(f"{tmp_path}/grid"))
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString() and got.count() == 1
     few, many = (spark.range(n).select(F.col("id").cast("string").alias("k")) for n in (10, 50))
     assert {sized(few, most).join(sized(many, most), "k").count() for most in (0, 20, 100)} == {10}
