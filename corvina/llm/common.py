@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -15,6 +16,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Edges, of 16 bytes each, that one task may hold.
 EDGES_OF_A_TASK = 1_000_000
+#: Whether a query's shuffle files are removed at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A word between ASCII white space.
 DARK = r"[^\x20\x09-\x0D]+"
 
@@ -43,10 +46,21 @@ def shielded(df: DataFrame, *cols: str) -> tuple[DataFrame, list[str]]:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there: later reads survive lost executors."""
-    checkpoint_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    # Shuffle files of finished steps go when the driver's JVM collects what refers to them.
-    df.sparkSession.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        # The setting holds for plans that are made under it; shuffle files then go as soon as the rows are written, whoever still refers to ``df``.
+        out = df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    # Checkpoints of earlier steps go when both Python and the driver's JVM have collected what refers to them.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return out
 
 

@@ -159,16 +159,14 @@ def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int =
     rows = cut(base.select("rid", "id", "n", "key").join(reps, "key").select("rid", "id", "n", "rep", "key"))
     nodes = cut(base.join(rows.where("rid = rep and n > 0").select("rid"), "rid", "left_semi").select(F.col("rid").alias("node"), "key", "n", "s1", "s2", "s3", "s4", "odd", "sketch"))
     del base, reps
-    values = nodes.select("node", F.explode("sketch").alias("v"))
-    shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    mine = values.join(shared, "v").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("l"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine = _shared(nodes.select("node", F.explode("sketch").alias("v")), parts).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("l"))
     facts = nodes.select("node", "n", "s1", "s2", F.size("sketch").alias("m"))
     kept = F.col("m") - _need(F.col("n"), k, need, percent) + 1
     # Values that no other text retains are the rarest of all and take the first places.
     kept = F.greatest(kept - (F.col("m") - F.size("l")), F.lit(0))
     prefixes = cut(mine.join(facts, "node").select("node", "n", "s1", "s2", F.transform(F.slice("l", 1, kept), lambda e: e["v"]).alias("pre")).where(F.size("pre") > 0))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Dealt by value once, the lists are counted and joined by value without moving again.
+    # Dealt by value, the lists are joined by value without moving again; their counts move values alone.
     lists = prefixes.select("node", "n", "s1", "s2", F.explode("pre").alias("v")).repartition(parts, "v")
     lists = lists.join(lists.groupBy("v").agg(F.count("*").alias("size")).where("size > 1"), "v")
     pair = [F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")]
@@ -203,6 +201,15 @@ def link_classes(docs: DataFrame, *, words: int = 5, percent: int = 80, k: int =
     return rows, connected_components(links.unionByName(check(rest)), arrow=True)
 
 
+def _shared(values: DataFrame, parts: int) -> DataFrame:
+    """The rows (node, v) whose v occurs more than once, and how often (df).
+
+    They are dealt by v once: the count names both columns, since a count of rows would need v alone, which Spark would deal a second time.
+    """
+    dealt = values.repartition(parts, "v")
+    return dealt.join(dealt.groupBy("v").agg(F.count(F.coalesce("v", "node")).alias("df")).where("df > 1"), "v")
+
+
 def _odd_bits() -> Column:
     """How many bits of a row's odd sketch differ from its partner's: at most as many as the sets' difference."""
     return sum((F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("odd_")[i])) for i in range(ODD_BITS // 64)), F.lit(0))

@@ -2,13 +2,15 @@
 
 import math
 import re
+import time
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from corvina.llm import decontaminate, line_dedup, near_dedup
-from corvina.llm.common import connected_components
+from corvina.llm.common import CLEAN_UP, connected_components, cut
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,6 +35,31 @@ def test_components(spark):
     assert connected_components(edges.where("false")).isEmpty()
 
 
+def test_cut_leaves_no_shuffle_files(spark):
+    dirs = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f for d in dirs for f in Path(d).rglob("shuffle_*")}
+    before, setting = files(), spark.conf.get(CLEAN_UP)
+    df = spark.range(10_000).repartition(5, "id").groupBy((F.col("id") % 7).alias("m")).count()
+    out = cut(df)
+    assert sorted(r["count"] for r in out.collect()) == sorted(r["count"] for r in df.collect())
+    held = spark.range(10_000).repartition(5, "id").groupBy((F.col("id") % 7).alias("m")).count()
+    alone = files()
+    cut(held)
+    # The frame is still referred to, and its files are gone.
+    until = time.time() + 10
+    while (left := files() - alone - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and held is not None and spark.conf.get(CLEAN_UP) == setting
+
+
+def test_sketch_values_are_dealt_once(spark):
+    values = spark.createDataFrame([(i, i % 7 if i < 50 else i) for i in range(100)], "node long, v long")
+    found = near_dedup._shared(cut(values), 5)
+    assert {(r["node"], r["v"], r["df"]) for r in found.collect()} == {(i, i % 7, 8 if i % 7 == 0 else 7) for i in range(50)}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1
+
+
 def test_decontaminate_edges(spark, docs, none):
     items = spark.createDataFrame([("s", "one"), ("n", None), ("e", ""), (None, "no id here"), ("w", "WORD0 word1, word2 word3 word4 word5 word6 word7 word8 word9 word10"), ("w", "one")], "item_id string, text string")
     got = {(r["id"], r["code"]): r for r in decontaminate.find_windows(docs, items).collect()}
