@@ -194,6 +194,18 @@ def test_lines_by_edit_similarity_alone(spark):
     assert len(long_) > 150 and sum(long_) >= 0.97 * len(long_)
 
 
+def test_confirming_moves_one_copy_of_a_line(spark, monkeypatch):
+    texts = ["some words of a line that is repeated", "some words of a line that is repeatet", "nothing like the other two at all"]
+    lines = spark.createDataFrame([(i, str(i % 3).encode(), texts[i % 3]) for i in range(60)], "row long, key binary, line string")
+    uniq = lines.groupBy("key").agg(F.min("row").alias("row")).withColumn("node", F.col("row") + 100)
+    moved = []
+    monkeypatch.setattr(line_dedup, "cut", lambda df: moved.append(df) or cut(df))
+    pairs = spark.createDataFrame([(100, 101), (100, 102), (101, 102)], "a long, b long")
+    assert [tuple(r) for r in line_dedup._confirm(pairs, uniq, lines, 0.85).collect()] == [(100, 101)]
+    # Copies would be told apart by an aggregation of the texts, after a move of them all.
+    assert "first(line" not in moved[-1]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_long_lines_with_some_changes(spark):
     """Lines of 200 to 900 letters with two words changed: nine of ten are found, and of lines with one word changed all."""
     import random
