@@ -243,3 +243,44 @@ def test_simhash_of_long_lines(spark):
                     at += n
                 assert r[f"sim{turn}"] % 2**64 == want
     assert line_dedup._hashed(spark.createDataFrame([(1, "w " * 9000 + "w")], "row long, line string")).select("sim0").first()[0] is not None
+
+
+def test_unlike_long_lines_of_common_words_do_not_meet(spark, monkeypatch):
+    """Lines that share their short words and nothing else are hardly compared; near ones among them are found."""
+    import random
+
+    r = random.Random(10)
+    common = "the of and in to a is en that it on for de was be as la with er by this an re are at".split()
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(6, 10)))
+    rows = []
+    for i in range(300):
+        words = common * 4 + [word() for _ in range(20)]
+        r.shuffle(words)
+        rows.append((i, " ".join(words)))
+        if i % 10 == 0:
+            words[r.randrange(len(words))] = "changed"
+            rows.append((1000 + i, " ".join(words)))
+    seen, confirm = [], line_dedup._confirm
+    monkeypatch.setattr(line_dedup, "_confirm", lambda pairs, *how: seen.append(pairs.count()) or confirm(pairs, *how))
+    gone = {x["id"] for x in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert gone == {i for i, _ in rows if i >= 1000}
+    assert sum(seen) < 100
+
+
+def test_near_texts_are_those_of_the_edit_distance(spark):
+    """The bounds before the distance change no answer: letters beyond the BMP, inserted words, changes around the limit."""
+    import random
+
+    r = random.Random(11)
+    pairs = []
+    for i in range(300):
+        text = [r.choice("aabcdeé😀  ") for _ in range(r.choice((5, 90, 100, 150, 240)))]
+        new = list(text)
+        for _ in range(int(len(text) * r.uniform(0, 0.3))):
+            at = r.randrange(len(new) + 1)
+            new[at : at + r.randrange(2)] = r.choice(("", "x", "x", " ", "😀"))
+        pairs.append(("".join(text), "".join(new) if i % 5 else "".join(r.sample(text, len(text)))))
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    got = {x["i"]: x["near"] for x in df.select("i", line_dedup._near_texts(F.col("a"), F.col("b"), 0.85).alias("near")).collect()}
+    want = {i: edit(a, b) <= math.floor(0.15 * max(len(a), len(b)) + 1e-9) for i, (a, b) in enumerate(pairs)}
+    assert got == want and 60 < sum(want.values()) < 240
